@@ -120,7 +120,7 @@ def histogram(scores: DataFrame, score: str = "anomaly_score", bins: int = 100)
     """
     values = scores.where(F.col(score).isNotNull())
     edges = values.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high")).alias("edges"))
-    low, high = edges.select("edges.low").scalar(), edges.select("edges.high").scalar()
+    low, high = edges.scalar()["low"], edges.scalar()["high"]
     width = (high - low) / bins
     position = F.when(width > 0, F.least(F.floor((F.col(score) - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counts = values.select(position.cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("rows"))
@@ -139,9 +139,8 @@ def histogram(scores: DataFrame, score: str = "anomaly_score", bins: int = 100)
 def describe(df: DataFrame, value: str) -> DataFrame:
     """``(count, mean, std, min, q25, q50, q75, max)`` of one column; std divides by n - 1."""
     quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75])
-    picked = quartiles.agg(
-        *[F.max(F.when(F.col("probability") == p, F.col(value))).alias(f"q{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
-    )
+    quarter = {f"q{int(p * 100)}": F.max(F.when(F.col("probability") == p, F.col(value))) for p in (0.25, 0.5, 0.75)}
+    picked = quartiles.agg(F.struct(*[q.alias(name) for name, q in quarter.items()]).alias("quarters")).scalar()
     basic = df.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -149,8 +148,7 @@ def describe(df: DataFrame, value: str) -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    quarter = [picked.select(q).scalar().alias(q) for q in ("q25", "q50", "q75")]
-    return basic.select("count", "mean", "std", "min", *quarter, "max")
+    return basic.select("count", "mean", "std", "min", *[picked[name].alias(name) for name in quarter], "max")
 
 
 def anomaly_flags(scores: DataFrame, threshold: Column, score: str = "anomaly_score") -> DataFrame:

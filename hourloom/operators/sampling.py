@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.functions.scalar import key_fraction, key_hash
-from hourloom.operators.quantiles import order_statistics
-from hourloom.session import broadcast_if_small
+from hourloom.operators.quantiles import few_groups, order_statistics
 
 SEED = 42
 
@@ -64,9 +63,10 @@ def mark_holdout(
     """
     scored = df.where(F.col(label).isNotNull()).withColumn("__score", score if score is not None else key_hash(seed, *keys))
     wanted = F.floor(F.col("n") * holdout + 0.5)
-    cuts = order_statistics(scored, "__score", F.filter(F.array(wanted - 1), lambda r: r >= 0), [label])
+    few = few_groups(scored, [label])
+    cuts = order_statistics(scored, "__score", F.filter(F.array(wanted - 1), lambda r: r >= 0), [label], few)
     cuts = cuts.select(label, F.col("__score").alias("__cut"))
-    marked = scored.join(broadcast_if_small(cuts), label, "left")
+    marked = scored.join(F.broadcast(cuts) if few else cuts, label, "left")
     return marked.select(*df.columns, F.coalesce(F.col("__score") <= F.col("__cut"), F.lit(False)).alias("held_out"))
 
 

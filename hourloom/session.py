@@ -18,13 +18,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast join only after counting that ``df`` has at most ``limit`` rows.
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``limit`` rows; counting stops right after the limit."""
+    return df.limit(limit + 1).count() <= limit
 
-    A larger table is returned as it is and the join shuffles both sides.  The count stops
-    at ``limit + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Ask for a broadcast join only if ``df`` proves small; otherwise the join shuffles both sides."""
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
