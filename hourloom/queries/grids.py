@@ -82,9 +82,10 @@ def _finish(grid: DataFrame) -> DataFrame:
     return add_labels(grid).select("*", *calendar_columns(F.col("ts")))
 
 
-def event_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_grid(spark: SparkSession, sf_dir: str, least_rows: int = 2) -> DataFrame:
+    """Hours with fewer than ``least_rows`` events have no demand."""
     events = table(spark, sf_dir, "events")
-    return _finish(_signals(_cells(events, "event_type", "date_trunc('HOUR', ts)", "value", "user_id"), 2))
+    return _finish(_signals(_cells(events, "event_type", "date_trunc('HOUR', ts)", "value", "user_id"), least_rows))
 
 
 EVENT_SQL = _cells_sql("events", "event_type", "date_trunc('hour', ts)", "value", "user_id", 2)

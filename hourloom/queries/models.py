@@ -21,7 +21,8 @@ _ANOMALY = AnomalySettings(components=16)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_table(event_grid(spark, sf_dir).drop(*MISMATCH_COLUMNS))
+    """With demand in every hour: one missing value would empty the 48 rows after it."""
+    return feature_table(event_grid(spark, sf_dir, least_rows=1).drop(*MISMATCH_COLUMNS))
 
 
 @query()

@@ -29,20 +29,16 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a fresh temporary one only on a local master."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    created = tempfile.mkdtemp(prefix="hourloom-checkpoint-")
-    spark.sparkContext.setCheckpointDir(created)
-    return created
+    """The shared folder named in ``spark.checkpoint.dir``; a fresh temporary one only on a local master."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+            folder = tempfile.mkdtemp(prefix="hourloom-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:

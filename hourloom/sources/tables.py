@@ -6,13 +6,21 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourloom.functions.schema import available
 
 
 def load(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """A Parquet table, limited to those of ``columns`` that it has; only these are read."""
+    """A Parquet table, limited to those of ``columns`` that it has; only these are read.
+
+    Series names that look like numbers stay text: in a partitioned table Spark would take them
+    for numbers and lose leading zeros.
+    """
     df = spark.read.parquet(path)
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "ba" else f for f in df.schema.fields]
+    if fields != df.schema.fields:
+        df = spark.read.schema(T.StructType(fields)).parquet(path)
     return df if columns is None else df.select(*available(columns, df.columns))
 
 
