@@ -60,19 +60,17 @@ def distant_days(
     )
     # Every block that exists has a row, so the next `back_rows` blocks are all that a row can reach.
     by_block = Window.partitionBy(SERIES).orderBy(BLOCK)
-    nobody = F.array().cast(f"array<struct<{BLOCK}:bigint,edge:bigint>>")
+    start, end = F.struct(BLOCK, F.col("start").alias("edge")), F.struct(BLOCK, F.col("end").alias("edge"))
     blocks = (
         days.groupBy(SERIES, BLOCK)
         .agg(F.min("first").alias("start"), F.max("last").alias("end"))
         .select(
             SERIES,
             BLOCK,
-            F.collect_list(F.struct(BLOCK, F.col("start").alias("edge"))).over(by_block.rowsBetween(1, back_rows)).alias("later")
-            if back_rows
-            else nobody.alias("later"),
-            F.collect_list(F.struct(BLOCK, F.col("end").alias("edge"))).over(by_block.rowsBetween(-ahead_rows, -1)).alias("earlier")
-            if ahead_rows
-            else nobody.alias("earlier"),
+            F.lead("start").over(by_block).alias("next_start"),
+            F.lag("end").over(by_block).alias("previous_end"),
+            F.collect_list(start).over(by_block.rowsBetween(1, max(back_rows, 1))).alias("later"),
+            F.collect_list(end).over(by_block.rowsBetween(-max(ahead_rows, 1), -1)).alias("earlier"),
         )
     )
     day, first, last = F.col(_DAY), F.col("first"), F.col("last")
@@ -86,8 +84,10 @@ def distant_days(
             lambda b: (first < b["edge"] + ahead_rows) & (b[BLOCK] < _block_of(day - ahead_days, block_days)),
         ),
     )
+    near_border = (last > F.col("next_start") - back_rows) | (first < F.col("previous_end") + ahead_rows)
     return (
         days.join(blocks, [SERIES, BLOCK])
+        .where(near_border)
         .select(SERIES, _DAY, F.transform(needed, lambda b: b[BLOCK]).alias("distant"))
         .where(F.size("distant") > 0)
     )

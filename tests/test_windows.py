@@ -110,6 +110,8 @@ def test_feature_table_shuffles_and_sorts_once(spark):
     assert plan.count("Window [") == 1 and plan.count("Sort [") == 1 and "Join" not in plan
 
 
-def test_unused_windows_are_not_computed(spark, panel):
-    plan = _plan(add_lags(panel).select("ba", "ts_unix", "wind_lag_7h"))
-    assert plan.count("lag(") == 1
+def test_unused_columns_are_not_computed(spark, panel):
+    plan = _plan(feature_table(panel).select("ba", "ts_unix", "wind_lag_7h", "solar_roll24h_mean"))
+    assert plan.count("avg(") == 1 and "stddev" not in plan and "lead(" not in plan.split("Window [")[1]
+    assert plan.count("try_element_at") == 1 or "__history" in plan
+    assert "demand_mw" not in plan.split("Window [")[-1].split("Exchange hashpartitioning(ba")[0]
