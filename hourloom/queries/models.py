@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.functions.schema import MISMATCH_COLUMNS
 from hourloom.operators.metrics import classification_report
 from hourloom.operators.reports import score_range
 from hourloom.operators.windows import feature_table
@@ -15,14 +14,14 @@ from hourloom.queries.grids import event_grid
 from hourloom.queries.registry import query
 from hourloom.session import durable
 
-_FORECAST = ForecastSettings(rounds=8, patience=3, depth=4, step=0.2)
+_FORECAST = ForecastSettings(rounds=5, patience=2, depth=3, step=0.3)
 _SEVERITY = SeveritySettings(trees=10, depth=6)
 _ANOMALY = AnomalySettings(components=16)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With demand in every hour: one missing value would empty the 48 rows after it."""
-    return feature_table(event_grid(spark, sf_dir, least_rows=1).drop(*MISMATCH_COLUMNS))
+    return durable(feature_table(event_grid(spark, sf_dir, least_rows=1)))
 
 
 @query()
@@ -32,7 +31,7 @@ def forecast_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def forecast_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = durable(_features(spark, sf_dir))
+    features = _features(spark, sf_dir)
     models, _ = train_forecasters(features, [("solar", 24)], _FORECAST)
     target = "solar_t24h_ahead"
     if not models:
