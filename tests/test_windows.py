@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
+from hourloom.operators.neighbours import BLOCK, HOME, SERIES, with_neighbours
 from hourloom.operators.windows import add_lags, add_leads, add_rolling, feature_table, hourly_grid, sequences
 
 
@@ -96,6 +97,14 @@ def test_contiguous_sequences_have_no_gap(spark, panel):
     assert sequences(panel.fillna(0.0), length=3, contiguous=True).count() == expected
 
 
+def test_a_hot_series_is_split_into_bounded_blocks(spark):
+    hot = spark.range(40_000).selectExpr("IF(id < 30000, 'hot', concat('s', id % 9)) AS ba", "id * 3600 AS ts_unix", "double(id) AS solar_mw")
+    reached = with_neighbours(hot, back_rows=48, ahead_rows=24, back_seconds=167 * 3600)
+    sizes = reached.groupBy(SERIES, BLOCK).agg(F.count("*").alias("n"), F.count_if(HOME).alias("home"))
+    most = sizes.agg(F.max("n"), F.max("home"), F.sum("home")).first()
+    assert most[0] <= (180 + 9) * 24 and most[1] <= 180 * 24 and most[2] == 40_000
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
