@@ -78,9 +78,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if weak:  # nothing to decide without a weak part
                 breaks = [m.end() for m in _BREAK.finditer(text)]
                 taken = [(s, e) for s, e, _ in base]
-                weak = [w for w in weak if not any(s < w[1] and w[0] < e for s, e in taken)] if len(taken) < 50 else _outside(weak, taken)
+                weak = _outside(weak, taken)
                 if weak:
-                        rows = [(s, e, role[k], False) for s, e, k in base] + [(s, e, k, True) for s, e, k in weak]
+                    rows = [(s, e, role[k], False) for s, e, k in base] + [(s, e, k, True) for s, e, k in weak]
                     both = [{"scope": bisect.bisect_right(breaks, s), "start": s, "end": e, "role": k, "weak": w} for s, e, k, w in rows]
             parts.append(both)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, pa.list_(span)), pa.array(parts, pa.list_(part))], ["doc_id", "base", "parts"])
