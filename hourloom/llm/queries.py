@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import decontamination, exact_dedup, packing, secrets, sharding
-from hourloom.llm.common import read_table
+from hourloom.llm import decontamination, exact_dedup, language, packing, secrets, sharding, toxicity
+from hourloom.llm.common import id_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    learned = labels.where(id_remainder(F.col("doc_id"), 5) != 0)
+    model = toxicity.fit_toxicity(*toxicity.training_sample(docs, learned))
+    rows = toxicity.score_toxicity(docs, model)
+    held_out = (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return rows.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @_query(f"""
 WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
@@ -39,6 +49,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    learned = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = language.fit_language(*language.training_sample(learned))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @_query()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shuffle_into_shards(read_table(spark, sf_dir, "documents"), 40)
