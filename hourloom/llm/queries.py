@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import decontamination, exact_dedup, language, packing, secrets, sharding, toxicity
+from hourloom.llm import decontamination, exact_dedup, language, language_model, packing, secrets, sharding, toxicity
 from hourloom.llm.common import id_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@_query()
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 10) == 0
+    model = language_model.train(docs.where(~held_out))
+    rows = language_model.score(docs, model)
+    return rows.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
+
+
 @_query(f"""
 WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
