@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import decontamination, exact_dedup, language, language_model, packing, secrets, sharding, toxicity
+from hourloom.llm import decontamination, exact_dedup, language, language_model, ngram_join, packing, secrets, sharding, toxicity
 from hourloom.llm.common import id_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), n=4, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 @_query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
