@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import decontamination, exact_dedup, language, language_model, ngram_join, packing, secrets, sharding, toxicity
+from hourloom.llm import decontamination, exact_dedup, language, language_model, ngram_join, packing, secrets, sharding, suffix_dedup, toxicity
 from hourloom.llm.common import id_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+    removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed")
+    return rows.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @_query()
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), n=4, percent=85)
