@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import string
+import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 
 from hourloom.session import checkpoint_dir
 
+_opened: dict[str, np.ndarray] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -70,3 +75,29 @@ def write_bytes(uri: str, data: bytes) -> None:
     with store.open_output_stream(partial := f"{path}.{os.getpid()}") as out:
         out.write(data)
     store.move(partial, path)
+
+
+def save_array(folder: str, name: str, values: np.ndarray) -> None:
+    np.save(out := io.BytesIO(), values)
+    write_bytes(f"{folder}/{name}.npy", out.getvalue())
+
+
+def open_array(folder: str, name: str) -> np.ndarray:
+    """A stored array, memory-mapped; one of a store without paths is first copied beside the worker."""
+    uri = f"{folder}/{name}.npy"
+    if uri not in _opened:
+        if len(_opened) > 4096:
+            _opened.clear()
+        path = local_path(uri)
+        if path is None:
+            from pyarrow import fs
+
+            store, inside = fs.FileSystem.from_uri(uri)
+            with store.open_input_stream(inside) as source, tempfile.NamedTemporaryFile(suffix=".npy") as copy:
+                while part := source.read(1 << 24):
+                    copy.write(part)
+                copy.flush()
+                _opened[uri] = np.load(copy.name, mmap_mode="r")  # stays readable without a name
+        else:
+            _opened[uri] = np.load(path, mmap_mode="r")
+    return _opened[uri]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -13,40 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.bytewords import buffers, mix, word_bounds, words
-from hourloom.llm.common import local_path, shared_folder, slices, write_bytes
+from hourloom.llm.common import open_array, save_array, shared_folder, slices
 
 #: The token that ends, and as a context begins, every text.
 END_HASH = np.uint64(0x5BD1E9955BD1E995)
 #: Distinct keys that a task collects before it passes them on, and bytes of text for each file of the model.
 _HELD, _FILE_BYTES = 1_500_000, 8_000_000
 _LOW = np.uint64(0xFFFFFFFF)
-_opened: dict[str, np.ndarray] = {}
-
-
-def _save(folder: str, name: str, values: np.ndarray) -> None:
-    np.save(out := io.BytesIO(), values)
-    write_bytes(f"{folder}/{name}.npy", out.getvalue())
-
-
-def _array(folder: str, name: str) -> np.ndarray:
-    """A memory-mapped array of the model; one of a store without paths is first copied beside the worker."""
-    uri = f"{folder}/{name}.npy"
-    if uri not in _opened:
-        if len(_opened) > 4096:
-            _opened.clear()
-        path = local_path(uri)
-        if path is None:
-            from pyarrow import fs
-
-            store, inside = fs.FileSystem.from_uri(uri)
-            with store.open_input_stream(inside) as source, tempfile.NamedTemporaryFile(suffix=".npy") as copy:
-                while part := source.read(1 << 24):
-                    copy.write(part)
-                copy.flush()
-                _opened[uri] = np.load(copy.name, mmap_mode="r")  # stays readable without a name
-        else:
-            _opened[uri] = np.load(path, mmap_mode="r")
-    return _opened[uri]
 
 
 @dataclass
@@ -70,13 +41,13 @@ class KneserNey:
         """(id, count) of sorted hashes; unknown ones have the id ``types`` and the count 0."""
         ids, counts = np.full(len(unique), self.types, np.int64), np.zeros(len(unique), np.int64)
         for b, own in _by_bucket(unique >> np.uint64(64 - self.bits)):
-            hashes = _array(self.folder, f"words-{b}")
+            hashes = open_array(self.folder, f"words-{b}")
             if not len(hashes):
                 continue
             at = np.minimum(np.searchsorted(hashes, unique[own]), len(hashes) - 1)
             hit = hashes[at] == unique[own]
             ids[own] = np.where(hit, self.bases[b] + at, self.types)
-            counts[own] = np.where(hit, _array(self.folder, f"counts-{b}")[at], 0)
+            counts[own] = np.where(hit, open_array(self.folder, f"counts-{b}")[at], 0)
         return ids, counts
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
@@ -84,10 +55,10 @@ class KneserNey:
         order = np.argsort(bucket, kind="stable")
         out = np.zeros(len(keys), np.int64)
         for b, own in _by_bucket(bucket[order]):
-            rows, stored = order[own], _array(self.folder, f"pairs-{b}")
+            rows, stored = order[own], open_array(self.folder, f"pairs-{b}")
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
-                out[rows] = np.where(stored[at] == keys[rows], _array(self.folder, f"pair_counts-{b}")[at], 0)
+                out[rows] = np.where(stored[at] == keys[rows], open_array(self.folder, f"pair_counts-{b}")[at], 0)
         return out
 
     def ranged(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -95,7 +66,7 @@ class KneserNey:
         out = np.zeros((len(ids), 4 if name == "contexts" else 1), np.int64)
         width = _width(self.types, self.bits)
         for b, own in _by_bucket(ids // width):
-            out[own] = _array(self.folder, f"{name}-{b}")[ids[own] - b * width]
+            out[own] = open_array(self.folder, f"{name}-{b}")[ids[own] - b * width]
         return out
 
 
@@ -167,8 +138,8 @@ def _store_words(folder: str):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = _summed(_joined(table, "c0", np.uint64), _joined(table, "c1", np.uint64))
-        _save(folder, f"words-{bucket}", keys)
-        _save(folder, f"counts-{bucket}", counts)
+        save_array(folder, f"words-{bucket}", keys)
+        save_array(folder, f"counts-{bucket}", counts)
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "size": [len(keys)], "tokens": [int(counts.sum())]})
 
     return run
@@ -199,8 +170,8 @@ def _store_pairs(folder: str):
         bucket = table.column("bucket")[0].as_py()
         keys = (_joined(table, "c0", np.uint32).astype(np.uint64) << np.uint64(32)) | _joined(table, "c1", np.uint32).astype(np.uint64)
         keys, counts = _summed(keys, _joined(table, "c2", np.uint32).astype(np.uint64))
-        _save(folder, f"pairs-{bucket}", keys)
-        _save(folder, f"pair_counts-{bucket}", counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64))
+        save_array(folder, f"pairs-{bucket}", keys)
+        save_array(folder, f"pair_counts-{bucket}", counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64))
         return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)}})
 
     return run
@@ -213,7 +184,7 @@ def _count_words_around(model: KneserNey):
         width = _width(model.types, model.bits)
         for batch in batches:
             for bucket in batch.column("bucket").to_pylist():
-                keys, counts = _array(model.folder, f"pairs-{bucket}"), np.asarray(_array(model.folder, f"pair_counts-{bucket}"), np.int64)
+                keys, counts = open_array(model.folder, f"pairs-{bucket}"), np.asarray(open_array(model.folder, f"pair_counts-{bucket}"), np.int64)
                 if not len(keys):
                     continue
                 ids, *sums = _summed((keys >> np.uint64(32)).astype(np.int64), counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64))
@@ -237,8 +208,8 @@ def _store_words_around(model: KneserNey):
             contexts[ids - bucket * width, i] = s
         ids, many = _summed(_joined(table, "c5", np.uint32).astype(np.int64), _joined(table, "c6", np.uint32).astype(np.int64))
         before[ids - bucket * width, 0] = many
-        _save(model.folder, f"contexts-{bucket}", contexts)
-        _save(model.folder, f"before-{bucket}", before)
+        saveopen_array(model.folder, f"contexts-{bucket}", contexts)
+        saveopen_array(model.folder, f"before-{bucket}", before)
         of = lambda test: [int(test.sum())]
         return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": of(many == i) for i in (1, 2, 3, 4)}, "more": of(many > 2), "total": [int(many.sum())]})
 
@@ -278,15 +249,15 @@ def train(docs: DataFrame) -> KneserNey:
         return model
     for b in np.flatnonzero(sizes == 0).tolist():
         for name, kind in (("words", np.uint64), ("counts", np.uint64)):
-            _save(model.folder, f"{name}-{b}", np.zeros(0, kind))
+            saveopen_array(model.folder, f"{name}-{b}", np.zeros(0, kind))
     model.bases = np.concatenate([[0], np.cumsum(sizes)])
     if model.types >= 1 << 32:
         raise ValueError("more than 2**32 different words")
     counts = "n1 long, n2 long, n3 long, n4 long"
     stored = texts.mapInArrow(_count_pairs(model), blobs(3)).groupBy("bucket").applyInArrow(_store_pairs(model.folder), f"bucket int, {counts}").collect()
     for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
-        _save(model.folder, f"pairs-{b}", np.zeros(0, np.uint64))
-        _save(model.folder, f"pair_counts-{b}", np.zeros(0, np.uint32))
+        saveopen_array(model.folder, f"pairs-{b}", np.zeros(0, np.uint64))
+        saveopen_array(model.folder, f"pair_counts-{b}", np.zeros(0, np.uint32))
     model.discounts = _discounts([sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)])
     spark = docs.sparkSession
     files = spark.range(0, buckets, 1, buckets).select(F.col("id").cast("int").alias("bucket"))

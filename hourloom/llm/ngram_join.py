@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.bytewords import buffers, chain, mix, word_bounds, words
-from hourloom.llm.common import slices
+from hourloom.llm.common import open_array, save_array, shared_folder, slices
 from hourloom.llm.components import components
 from hourloom.session import durable
 
@@ -61,8 +61,71 @@ def _slim(n: int):
     return run
 
 
-def _prefix_tokens(n: int, percent: int, bits: int):
-    """(token, node) of all prefixes as bytes by bucket of the token; frequent tokens of the task as known repeats."""
+def _short(tokens: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket (the first bits) and the 32 bits after it: enough to count by, as a chance count only changes an order."""
+    return (tokens >> np.uint64(64 - bits)).astype(np.int64), ((tokens << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _all_tokens(n: int, bits: int):
+    """The tokens of all sets by bucket, sorted, as differences in four byte planes, which compress well."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            tokens = np.sort(np.concatenate(held))
+            bucket, short = _short(tokens, bits)
+            edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+            full = np.flatnonzero(np.diff(edges))
+            planes = [np.diff(short[edges[b] : edges[b + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes() for b in full]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(planes, pa.binary())], ["bucket", "tokens"])
+
+        for batch in slices(batches, "text"):
+            held += _sets(batch, n)
+            size += sum(len(s) for s in held[-batch.num_rows :])
+            if size > 2_000_000:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    return run
+
+
+def _store_counts(folder: str):
+    """Keep the tokens of a bucket that occur in two or more documents, and how often."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        planes = [np.frombuffer(v.as_buffer(), np.uint8).reshape(4, -1) for chunk in table.column("tokens").chunks for v in chunk]
+        short = np.concatenate([np.cumsum(np.ascontiguousarray(p.T).view(np.uint32).ravel(), dtype=np.uint32) for p in planes])
+        found, counts = np.unique(short, return_counts=True)
+        again = counts > 1
+        save_array(folder, f"tokens-{bucket}", found[again])
+        save_array(folder, f"counts-{bucket}", np.minimum(counts[again], 65_535).astype(np.uint16))
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "kept": [int(again.sum())]})
+
+    return run
+
+
+def _counts_of(folder: str, full: frozenset[int], bits: int, tokens: np.ndarray) -> np.ndarray:
+    """How many documents have each of the sorted tokens; 1 stands for one or none."""
+    bucket, short = _short(tokens, bits)
+    edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+    out = np.ones(len(tokens), np.int64)
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        if b in full:
+            own, stored = slice(edges[b], edges[b + 1]), open_array(folder, f"tokens-{b}")
+            at = np.minimum(np.searchsorted(stored, short[own]), len(stored) - 1)
+            out[own] = np.where(stored[at] == short[own], open_array(folder, f"counts-{b}")[at], 1)
+    return out
+
+
+def _prefix_tokens(n: int, percent: int, bits: int, folder: str, full: frozenset[int]):
+    """(token, node) of the prefixes' repeated tokens, as bytes by bucket; those frequent in the task as known repeats.
+
+    The order of tokens is by the number of documents and then by hash.
+    """
 
     def pack(tokens: np.ndarray, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((nodes, tokens))
@@ -100,9 +163,14 @@ def _prefix_tokens(n: int, percent: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, nodes, size = [], [], 0
         for batch in slices(batches, "text"):
-            for own in _sets(batch, n):
-                if len(own):
-                    part = _prefix(own, percent)
+            sets = _sets(batch, n)
+            together, where = np.unique(np.concatenate(sets), return_inverse=True)
+            counts, at = _counts_of(folder, full, bits, together)[where], 0
+            for own in sets:
+                count, at = counts[at : at + len(own)], at + len(own)
+                if (count > 1).any():
+                    order = np.argsort(count, kind="stable")[: len(_prefix(own, percent))]
+                    part = own[order][count[order] > 1]
                     tokens.append(part)
                     nodes.append(np.full(len(part), _identity(own)[0]))
                     size += len(part)
@@ -317,12 +385,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, group_tokens
     """doc_id, text_hash, n_shingles, component_id of every row of ``docs``.
 
     Two sets of n-word shingles link when 100 * common >= percent * union; component_id is the smallest doc_id
-    reachable. Equal sets are one node. A link needs a common token among the first of both sets in the order of the tokens'
-    hashes, so nodes meet on such tokens if two or more have them. A group that a smaller common token of all its members covers
-    is left out, and the rest get the whole sets: the sets of a group form a signature tree whose dual traversal
-    cuts pairs of tree nodes by sizes and by the largest possible overlap, and what is left is compared exactly. A group
-    of more than ``group_tokens`` tokens is cut by hash into parts, and each pair of parts is a group, so memory has a bound
-    and no pair is lost. Only links that join classes leave a task, at most one a member.
+    reachable. Equal sets are one node. A link needs a common token among the first of both sets, in any one order of all
+    tokens: here rare ones come first, by counts over all documents, which are kept as sorted arrays in the shared folder
+    and memory-mapped by tasks. Nodes meet on such tokens if two or more have them; a text with many words of its
+    own meets none. A group that a smaller common token of all its members covers
+    is left out, and groups that share members are compared as one if they fit ``group_tokens``: their sets form a
+    signature tree whose dual traversal cuts pairs of tree nodes by sizes and by the largest possible overlap, and what is
+    left is compared exactly. Larger unions stay single groups, and of these a group of more than ``group_tokens`` tokens is cut
+    by hash into parts, of which each pair is compared, so memory has a bound and no pair is lost. Only links that join classes leave a task, at most one a member.
 
     Null and empty texts have no shingles and no links. Repeated rows get equal results; null ids are reachable but
     are named only if a class has no other id. An empty table gives no rows; further columns are ignored.
@@ -334,16 +404,28 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, group_tokens
     classes = classes.select("node", "least", "rows", F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("two sets have one hash")).cast("long")).otherwise(F.col("n")).alias("n"))
     tokens = slim.agg(F.sum("n")).first()[0] or 0
     bits = max(6, (tokens // 2_000_000).bit_length())
+    folder = shared_folder(spark, "token-counts")
+    stored = texts.mapInArrow(_all_tokens(n, bits), "bucket int, tokens binary").groupBy("bucket").applyInArrow(_store_counts(folder), "bucket int, kept long")
+    full = frozenset(r["bucket"] for r in stored.where("kept > 0").collect())
     blobs = "bucket int, tokens binary, nodes binary, known_tokens binary, known_nodes binary"
-    repeats = texts.mapInArrow(_prefix_tokens(n, percent, bits), blobs).groupBy("bucket").applyInArrow(_repeats, "token long, node long")
-    # tokens are compared as unsigned numbers when prefixes are cut, and as signed ones below: any order serves there
+    repeats = texts.mapInArrow(_prefix_tokens(n, percent, bits, folder, full), blobs).groupBy("bucket").applyInArrow(_repeats, "token long, node long")
+    # which of two groups covers the other is told by signed numbers: any order of tokens serves there
     by_node = repeats.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own")).join(classes.select("node", "n"), "node")
     first = [F.coalesce(F.get("own", F.lit(i)), F.get("own", F.lit(0))).alias(f"f{i}") for i in range(_FIRST)]
     rows = by_node.select("node", "n", *first, F.explode("own").alias("token"))
     groups = rows.withColumn("bucket", F.pmod(F.hash("token"), F.lit(1 << bits))).groupBy("bucket").applyInArrow(_needed(group_tokens), "token long, node long, parts int")
-    groups = groups.withColumn("part", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int"))
+    groups = durable(groups)
+    # groups that share nodes are compared as one, with each set once, as long as that fits one task
+    least = groups.groupBy("token").agg(F.min("node").alias("b"))
+    roots = durable(components(groups.join(least, "token").select(F.col("node").alias("a"), "b")))
+    sizes = roots.join(classes.select("node", "n"), "node").groupBy("root").agg(F.sum("n").alias("total"))
+    placed = roots.join(sizes, "root").select("node", "root", (F.col("total") <= group_tokens).alias("fits"))
+    one = placed.where("fits").select("node", F.expr("array(struct(root AS token, -1 AS i, -1 AS j, 0 AS part)) AS groups"))
+    split = groups.join(placed.where("NOT fits").select("node"), "node")
+    split = split.withColumn("part", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int"))
     both = F.expr("transform(sequence(0, parts - 1), k -> struct(token, least(part, k) AS i, greatest(part, k) AS j, part))")
-    wanted = durable(groups.select("node", F.explode(both).alias("group")).groupBy("node").agg(F.collect_list("group").alias("groups")))
+    split = split.select("node", F.explode(both).alias("group")).groupBy("node").agg(F.collect_list("group").alias("groups"))
+    wanted = durable(one.unionByName(split))
     place = slim.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"))
     place = place.join(wanted, "node").select(F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash"), "node", "groups")
     found = texts.join(place.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
