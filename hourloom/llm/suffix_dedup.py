@@ -17,7 +17,7 @@ from hourloom.session import durable
 #: Bytes of a passage, and of the content-chosen anchors by which equal passages meet.
 PASSAGE, ANCHOR = 400, 32
 #: Bytes of the stretches of one shard.
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 1_500_000
 _PIECE = 1 << 23
 _VALUES = np.random.default_rng(77).integers(1, 1 << 63, 256).astype(np.uint64)
 _COLUMNS = ("anchor", "stretch", "key1", "key2", "start", "end")
