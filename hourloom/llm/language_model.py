@@ -208,8 +208,8 @@ def _store_words_around(model: KneserNey):
             contexts[ids - bucket * width, i] = s
         ids, many = _summed(_joined(table, "c5", np.uint32).astype(np.int64), _joined(table, "c6", np.uint32).astype(np.int64))
         before[ids - bucket * width, 0] = many
-        saveopen_array(model.folder, f"contexts-{bucket}", contexts)
-        saveopen_array(model.folder, f"before-{bucket}", before)
+        save_array(model.folder, f"contexts-{bucket}", contexts)
+        save_array(model.folder, f"before-{bucket}", before)
         of = lambda test: [int(test.sum())]
         return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": of(many == i) for i in (1, 2, 3, 4)}, "more": of(many > 2), "total": [int(many.sum())]})
 
@@ -249,15 +249,15 @@ def train(docs: DataFrame) -> KneserNey:
         return model
     for b in np.flatnonzero(sizes == 0).tolist():
         for name, kind in (("words", np.uint64), ("counts", np.uint64)):
-            saveopen_array(model.folder, f"{name}-{b}", np.zeros(0, kind))
+            save_array(model.folder, f"{name}-{b}", np.zeros(0, kind))
     model.bases = np.concatenate([[0], np.cumsum(sizes)])
     if model.types >= 1 << 32:
         raise ValueError("more than 2**32 different words")
     counts = "n1 long, n2 long, n3 long, n4 long"
     stored = texts.mapInArrow(_count_pairs(model), blobs(3)).groupBy("bucket").applyInArrow(_store_pairs(model.folder), f"bucket int, {counts}").collect()
     for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
-        saveopen_array(model.folder, f"pairs-{b}", np.zeros(0, np.uint64))
-        saveopen_array(model.folder, f"pair_counts-{b}", np.zeros(0, np.uint32))
+        save_array(model.folder, f"pairs-{b}", np.zeros(0, np.uint64))
+        save_array(model.folder, f"pair_counts-{b}", np.zeros(0, np.uint32))
     model.discounts = _discounts([sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)])
     spark = docs.sparkSession
     files = spark.range(0, buckets, 1, buckets).select(F.col("id").cast("int").alias("bucket"))
