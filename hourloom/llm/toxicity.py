@@ -282,13 +282,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE,
     """Whole texts of up to ``text_bytes`` and their labels: ``per_class`` of each class by the hash of the id."""
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.withColumn("order", F.xxhash64("doc_id"))
-    # twice as many ids by hash as are wanted, before any text moves: a share of the hash range, not a sorted list
+    # about three times as many ids as are wanted, before any text moves: a share of the hash range, so that few ids, some
+    # 6 * per_class whatever the table's size, are broadcast
     sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     share = F.lit(0)
     for value, count in sizes.items():
         share = F.when(F.col("toxic") == value, int(min(1.0, 3 * per_class / count) * (1 << 20)) + 1).otherwise(share)
     chosen = marked.where(F.pmod(F.col("order"), F.lit(1 << 20)) < share)
-    rows = docs.where(F.octet_length("text") <= text_bytes).select("doc_id", "text").join(chosen, "doc_id")
+    rows = docs.where(F.octet_length("text") <= text_bytes).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("toxic").orderBy("order", "text"))).where(F.col("rank") <= per_class)
     texts, toxic, used = [], [], 0
     for row in ranked.select("text", "toxic", "rank").orderBy("rank", "toxic").toLocalIterator():
