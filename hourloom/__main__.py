@@ -51,7 +51,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName("hourloom").getOrCreate())
     if chosen.command == "audit":
         found = coverage_audit(spark, chosen.raw)
-        found.orderBy("file_name").show(1000, truncate=False)
+        found.orderBy("file_name").show(found.count(), truncate=False)
         audit_totals(found).show()
     elif chosen.command == "features":
         table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample)

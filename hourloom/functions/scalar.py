@@ -9,8 +9,9 @@ from hourloom.functions.schema import CLASS_NAMES, TIMESTAMP_FORMATS
 
 
 def parse_number(text: Column) -> Column:
-    """Text to double; thousands separators are removed and unreadable text is null."""
-    return F.regexp_replace(F.trim(text), ",", "").try_cast("double")
+    """Text to double; thousands separators are removed and what is no plain or exponent number is null."""
+    plain = F.regexp_replace(F.trim(text), ",", "")
+    return F.when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), plain.try_cast("double"))
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -32,7 +32,7 @@ MIN_VALID_BYTES = 1024 * 1024
 
 KEYS = ("ts_utc", "ba")
 SIGNALS = tuple(name for name in SOURCE_HEADERS if name not in KEYS)
-# Fuels in which a missing value means no generation; the other signals keep their nulls.
+# Fuels in which a missing value means no generation; the other signals keep their nulls.
 ZERO_FILLED = ("solar_mw", "wind_mw", "coal_mw", "gas_mw", "nuclear_mw", "oil_mw", "hydro_mw", "other_mw")
 
 # Windows, horizons and classes of the feature table.

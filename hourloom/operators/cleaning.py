@@ -94,12 +94,12 @@ def add_calendar(df: DataFrame, text: str = "ts_utc") -> DataFrame:
 
 
 def finite_or_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Infinities become null."""
+    """Infinities and NaN become null."""
     columns = set(columns)
     infinite = float("inf")
     return df.select(
         *[
-            F.when(F.abs(c) != infinite, F.col(c)).alias(c) if c in columns else F.col(c)
+            F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(c) != infinite), F.col(c)).alias(c) if c in columns else F.col(c)
             for c in df.columns
         ]
     )

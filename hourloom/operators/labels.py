@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.scalar import mismatch_pct, severity_label
+from hourloom.session import durable
 
 
 def label_columns() -> list[Column]:
@@ -25,15 +26,13 @@ def add_labels(panel: DataFrame) -> DataFrame:
 def entity_codes(panel: DataFrame, column: str = "ba") -> DataFrame:
     """``(column, code)``: distinct names numbered from 0 in alphabetical order.
 
-    Names are numbered within their first two letters, and the counts of the letter groups
-    before are added, so no task sorts all names.
+    The distinct names are stored in ranges of their order; each range numbers its own and adds the counts of
+    the ranges before, so no task sorts all names, however many share their first letters.
     """
-    names = panel.select(column).where(F.col(column).isNotNull()).distinct().withColumn("__prefix", F.substring(column, 1, 2))
-    before = Window.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        names.groupBy("__prefix")
-        .agg(F.count("*").alias("n"))
-        .select("__prefix", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    within = F.row_number().over(Window.partitionBy("__prefix").orderBy(column))
-    return names.join(offsets, "__prefix").select(column, (F.col("offset") + within - 1).cast("int").alias("code"))
+    names = panel.select(column).where(F.col(column).isNotNull()).distinct()
+    ranged = durable(names.repartitionByRange(column).withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("n"))
+    offsets = counts.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(column))
+    return ranged.join(offsets, "__range").select(column, (F.col("offset") + within - 1).cast("int").alias("code"))

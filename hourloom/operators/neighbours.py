@@ -112,8 +112,10 @@ def with_neighbours(
         if not further.isEmpty():
             dated = dated.join(broadcast_if_small(further), [SERIES, _DAY], "left")
             targets = F.concat(targets, F.coalesce("distant", F.array().cast("array<bigint>")))
-    return dated.select(*panel.columns, day, F.explode(targets).alias(BLOCK)).select(
-        *panel.columns, BLOCK, (F.col(BLOCK) == _block_of(day, block_days)).alias(HOME)
+    # a row without a time has no neighbours: it gets a block of its own, below all blocks of time
+    alone = F.array(-F.pmod(F.xxhash64(*panel.columns), F.lit(1 << 62)) - (1 << 40))
+    return dated.select(*panel.columns, day, F.explode(F.coalesce(targets, alone)).alias(BLOCK)).select(
+        *panel.columns, BLOCK, F.coalesce(F.col(BLOCK) == _block_of(day, block_days), F.lit(True)).alias(HOME)
     )
 
 

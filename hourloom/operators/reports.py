@@ -24,10 +24,16 @@ def filter_time(df: DataFrame, start: str, end: str, whole_last_day: bool = Fals
     """Rows from ``start`` to ``end``, both included.
 
     A plain date means its first instant, so of the last day only midnight is kept unless
-    ``whole_last_day`` is set.
+    ``whole_last_day`` is set.  Where the table has them, ``year`` prunes partitions and ``ts_unix``, whose
+    statistics are stored, skips row groups.
     """
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     ts = F.col("ts")
+    end_of = last + F.expr("INTERVAL 1 DAY") if whole_last_day else last
+    if "year" in df.columns:
+        df = df.where(F.col("year").between(F.year(first), F.year(end_of)))
+    if "ts_unix" in df.columns:
+        df = df.where(F.col("ts_unix").between(F.unix_timestamp(first), F.unix_timestamp(end_of)))
     if whole_last_day:
         return df.where((ts >= first) & (ts < last + F.expr("INTERVAL 1 DAY")))
     return df.where(ts.between(first, last))
@@ -118,7 +124,7 @@ def histogram(scores: DataFrame, score: str = "anomaly_score", bins: int = 100)
 
     The last bin includes the greatest score; empty bins are listed with 0 rows.
     """
-    values = scores.where(F.col(score).isNotNull())
+    values = scores.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     edges = values.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high")).alias("edges"))
     low, high = edges.scalar()["low"], edges.scalar()["high"]
     width = (high - low) / bins
