@@ -12,20 +12,22 @@ from hourloom.sources.raw import audit_totals, coverage_audit
 from hourloom.sources.tables import load
 
 
-def _train(spark: SparkSession, which: str, feature_path: str, model_dir: str) -> None:
-    table = load(spark, feature_path)
+def _train(spark: SparkSession, chosen: argparse.Namespace) -> None:
+    table, which, model_dir = load(spark, chosen.features), chosen.which, chosen.models
     if which in ("all", "forecast"):
-        models, metrics = forecast.train_forecasters(table)
+        settings = forecast.ForecastSettings(split=chosen.split, stop_early=chosen.stop_early)
+        models, metrics = forecast.train_forecasters(table, settings=settings)
         forecast.save_forecasters(models, metrics, model_dir)
         forecast.load_metrics(spark, model_dir).show()
     if which in ("all", "anomaly"):
-        model, scales, scores, loss = anomaly.train_anomaly(table)
+        model, scales, scores, loss = anomaly.train_anomaly(table, anomaly.AnomalySettings(contiguous=chosen.contiguous))
         if model is not None:
-            anomaly.save_anomaly(model, scales, scores, model_dir)
-            loss.show()
+            anomaly.save_anomaly(model, scales, scores, model_dir, loss)
+            spark.read.parquet(f"{model_dir}/anomaly_loss").show()
             anomaly.load_anomaly(spark, model_dir)[3].show()
     if which in ("all", "severity"):
-        model, inputs, predictions = severity.train_severity(table)
+        settings = severity.SeveritySettings(kind=chosen.kind, exclude_label_source=chosen.exclude_label_source)
+        model, inputs, predictions = severity.train_severity(table, settings)
         if model is not None:
             severity.save_severity(model, inputs, predictions, model_dir)
             spark.read.parquet(f"{model_dir}/severity_report").show()
@@ -36,29 +38,37 @@ def main(arguments: list[str] | None = None) -> None:
     commands = parser.add_subparsers(dest="command", required=True)
     audit = commands.add_parser("audit", help="which raw files are there")
     audit.add_argument("raw")
+    audit.add_argument("--first-year", type=int, default=2019)
+    audit.add_argument("--last-year", type=int, default=2024)
     build = commands.add_parser("features", help="raw files to panel and feature table")
     build.add_argument("raw")
     build.add_argument("panel")
     build.add_argument("features")
     build.add_argument("--fraction", type=float, default=1.0)
     build.add_argument("--sample", choices=("entities", "rows"), default="entities")
+    build.add_argument("--lag-mode", choices=("row", "time"), default="row")
     train = commands.add_parser("train", help="fit and save models")
     train.add_argument("which", choices=("forecast", "anomaly", "severity", "all"))
     train.add_argument("features")
     train.add_argument("models")
+    train.add_argument("--split", choices=("random", "time"), default="random", help="hold-out rows of the forecasters")
+    train.add_argument("--stop-early", action="store_true", help="forecasters end at the first round without gain")
+    train.add_argument("--contiguous", action="store_true", help="no anomaly sequence steps over a gap")
+    train.add_argument("--kind", choices=("forest", "boosted"), default="forest", help="the severity classifier")
+    train.add_argument("--exclude-label-source", action="store_true", help="without the inputs that the label is made of")
     chosen = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("hourloom").getOrCreate())
     if chosen.command == "audit":
-        found = coverage_audit(spark, chosen.raw)
+        found = coverage_audit(spark, chosen.raw, chosen.first_year, chosen.last_year)
         found.orderBy("file_name").show(found.count(), truncate=False)
         audit_totals(found).show()
     elif chosen.command == "features":
-        table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample)
+        table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample, chosen.lag_mode)
         table.printSchema()
         table.select("ba", "ts_utc", "solar_mw", "wind_mw", "demand_mw", "mismatch_label").show(3, truncate=False)
     else:
-        _train(spark, chosen.which, chosen.features, chosen.models)
+        _train(spark, chosen)
 
 
 if __name__ == "__main__":

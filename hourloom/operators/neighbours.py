@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.session import broadcast_if_small, durable
+from hourloom.session import durable
 
 SERIES = "ba"
 TIME = "ts_unix"
@@ -45,7 +45,7 @@ def _block_of(day: Column, block_days: int) -> Column:
 def distant_days(
     panel: DataFrame, back_rows: int, ahead_rows: int, back_days: int, ahead_days: int, block_days: int
 ) -> DataFrame:
-    """``(ba, day, blocks)`` for days a block needs although they lie outside its margin.
+    """``(ba, day, block)`` for days a block needs although they lie outside its margin.
 
     Row numbers of the first and last row of each day follow from running counts.  A window over
     one series here runs over days, not rows, so the calendar bounds it.
@@ -88,8 +88,7 @@ def distant_days(
     return (
         days.join(blocks, [SERIES, BLOCK])
         .where(near_border)
-        .select(SERIES, _DAY, F.transform(needed, lambda b: b[BLOCK]).alias("distant"))
-        .where(F.size("distant") > 0)
+        .select(SERIES, _DAY, F.explode(F.transform(needed, lambda b: b[BLOCK])).alias(BLOCK))
     )
 
 
@@ -107,16 +106,14 @@ def with_neighbours(
     dated = panel.withColumn(_DAY, _day(F.col(TIME)))
     day = F.col(_DAY)
     targets = F.sequence(_block_of(day - ahead_days, block_days), _block_of(day + back_days, block_days))
+    # a row without a time has no neighbours: it gets a block of its own, below all blocks of time
+    alone = F.array(-F.pmod(F.xxhash64(*panel.columns), F.lit(1 << 62)) - (1 << 40))
+    dealt = dated.select(*panel.columns, day, F.explode(F.coalesce(targets, alone)).alias(BLOCK))
     if back_rows or ahead_rows:
         further = durable(distant_days(panel, back_rows, ahead_rows, back_days, ahead_days, block_days))
         if not further.isEmpty():
-            dated = dated.join(broadcast_if_small(further), [SERIES, _DAY], "left")
-            targets = F.concat(targets, F.coalesce("distant", F.array().cast("array<bigint>")))
-    # a row without a time has no neighbours: it gets a block of its own, below all blocks of time
-    alone = F.array(-F.pmod(F.xxhash64(*panel.columns), F.lit(1 << 62)) - (1 << 40))
-    return dated.select(*panel.columns, day, F.explode(F.coalesce(targets, alone)).alias(BLOCK)).select(
-        *panel.columns, BLOCK, F.coalesce(F.col(BLOCK) == _block_of(day, block_days), F.lit(True)).alias(HOME)
-    )
+            dealt = dealt.unionByName(dated.join(further, [SERIES, _DAY]).select(dealt.columns))
+    return dealt.select(*panel.columns, BLOCK, F.coalesce(F.col(BLOCK) == _block_of(day, block_days), F.lit(True)).alias(HOME))
 
 
 #: The window of one block, for SQL expressions; a frame may follow it.

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.session import BROADCAST_ROWS, is_small
+from hourloom.session import durable, is_small
 
 _COARSE = 1 << 10
 _FINE = 1 << 20
@@ -54,34 +54,24 @@ def _holding(counts: DataFrame, rank: str) -> Column:
     return (F.col(rank) >= F.col("__from")) & (F.col(rank) < F.col("__to"))
 
 
-def few_groups(df: DataFrame, by: list[str]) -> bool:
-    """Whether a few rows per group may be broadcast."""
-    return not by or is_small(df.select(*by).distinct(), BROADCAST_ROWS // 10)
-
-
-def order_statistics(
-    df: DataFrame, value: str, ranks: Column, by: Iterable[str] = (), few: bool | None = None
-) -> DataFrame:
+def order_statistics(df: DataFrame, value: str, ranks: Column, by: Iterable[str] = ()) -> DataFrame:
     """``(*by, n, rank, value)``: the values at 0-based ``ranks`` within each group.
 
     ``ranks`` is an array column that may use the group's size ``n``.  Null and NaN are left
-    out, and so are groups with a null key.  ``df`` is read four times (``few`` saves one): store it
+    out, and so are groups with a null key.  ``df`` is read three times, the last time when the result is: store it
     first if it is costly.
     """
     by = list(by)
     source = df.dropna(subset=by) if by else df
     binned = _bins(source, value, by)
 
-    # Each group has at most as many parts as ranks, so the number of groups bounds what is broadcast.
-    few = few_groups(source, by) if few is None else few
-
     def matching(part: DataFrame, keys: list[str]) -> DataFrame:
         parts = part.select(*keys).distinct()
-        return binned.join(F.broadcast(parts) if few else parts, keys, "left_semi")
+        return binned.join(F.broadcast(parts) if is_small(parts) else parts, keys, "left_semi")
 
     coarse = _running(binned.groupBy(*by, "__k1").agg(F.count("*").alias("__c")), by, "__k1")
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    in_coarse = (
+    in_coarse = durable(
         coarse.withColumn("n", F.sum("__c").over(whole))
         .withColumn("rank", F.explode(F.array_distinct(ranks)))
         .where(_holding(coarse, "rank"))
@@ -89,7 +79,7 @@ def order_statistics(
     )
     keys = [*by, "__k1"]
     fine = _running(matching(in_coarse, keys).groupBy(*keys, "__k2").agg(F.count("*").alias("__c")), keys, "__k2")
-    in_fine = (
+    in_fine = durable(
         fine.join(in_coarse, keys)
         .where(_holding(fine, "__r"))
         .select(*keys, "__k2", "n", "rank", (F.col("__r") - F.col("__from")).alias("__r"))

@@ -109,9 +109,9 @@ def deficit_share(df: DataFrame, by: Iterable[str] = ()) -> DataFrame:
 
 
 def score_range(scores: DataFrame, score: str = "anomaly_score", share: float = 0.99) -> DataFrame:
-    """``(low, high, threshold)``; the threshold is the exact quantile ``share``."""
+    """``(low, high, threshold)``; the threshold is the exact quantile ``share``.  NaN counts as no score."""
     threshold = exact_quantiles(scores, score, [share]).select(score).scalar()
-    return scores.agg(F.min(score).alias("low"), F.max(score).alias("high")).withColumn("threshold", threshold)
+    return scores.where(~F.isnan(F.col(score).cast("double"))).agg(F.min(score).alias("low"), F.max(score).alias("high")).withColumn("threshold", threshold)
 
 
 def score_thresholds(scores: DataFrame, score: str = "anomaly_score", share: float = 0.99) -> DataFrame:

@@ -130,14 +130,16 @@ def sequences(
 
 
 def hourly_grid(panel: DataFrame) -> DataFrame:
-    """Every hour from the first to the last of each series, with nulls where the panel has no row.
+    """Every full hour from the first to the last of each series, with nulls where the panel has no row.
 
-    Days are listed first and hours within them second, so no single array spans a long history.
+    Rows off the hour, or without a series or time, stay as they are, between the hours.  Days are listed first and
+    hours within them second, so no single array spans a long history.
     """
     day_seconds = 24 * HOUR
     hours = (
         panel.groupBy(SERIES)
-        .agg(F.min(TIME).alias("first"), F.max(TIME).alias("last"))
+        .agg(F.expr(f"CAST(ceil(min({TIME}) / {HOUR}) * {HOUR} AS BIGINT)").alias("first"), F.max(TIME).cast("long").alias("last"))
+        .where("first <= last")
         .select("*", F.explode(F.sequence(F.col("first"), F.col("last"), F.lit(day_seconds).cast("long"))).alias("start"))
         .select(
             SERIES,
@@ -150,4 +152,4 @@ def hourly_grid(panel: DataFrame) -> DataFrame:
             ).alias(TIME),
         )
     )
-    return hours.join(panel, [SERIES, TIME], "left")
+    return hours.join(panel, [SERIES, TIME], "full")

@@ -20,7 +20,6 @@ from hourloom.operators.cleaning import complete_cases
 from hourloom.operators.reports import normal_hours, score_range
 from hourloom.operators.sampling import SEED, split_by_key
 from hourloom.operators.windows import sequences
-from hourloom.session import durable
 from hourloom.sources.tables import write_scores
 
 SCORES_SCHEMA = "ba string, ts_unix bigint, anomaly_score double"
@@ -33,6 +32,8 @@ class AnomalySettings:
     contiguous: bool = False
     holdout: float = 0.1
     seed: int = SEED
+    #: SQL text of a number from 0 to 1 that decides the split in place of the key hash.
+    score: str | None = None
 
 
 def signal_scales(normal: DataFrame, signals: Iterable[str] = S.SEQUENCE_SIGNALS) -> DataFrame:
@@ -85,14 +86,17 @@ def train_anomaly(
 ) -> tuple[PipelineModel | None, DataFrame, DataFrame, DataFrame]:
     """The model, the scales, scores of all sequences and the mean error on held-out normal ones.
 
+    ``features`` should be a stored table, of which eight columns are read, several times.
+
     A score belongs to the last hour of its sequence.  Training sequences are built from normal
     hours only and so may step over the hours between; sequences never mix two series.
     """
     panel = complete_cases(features.select("ba", "ts_unix", "mismatch_label", *S.SEQUENCE_SIGNALS), S.SEQUENCE_SIGNALS)
-    panel = durable(panel)
     scales = signal_scales(normal_hours(panel))
     scaled = standardise(panel, scales)
-    train, held_out = split_by_key(_vectors(normal_hours(scaled), settings), settings.holdout, seed=settings.seed)
+    score = F.expr(settings.score) if settings.score else None
+    built = _vectors(normal_hours(scaled), settings)
+    train, held_out = split_by_key(built, settings.holdout, seed=settings.seed, score=score)
     spark = features.sparkSession
     if train.limit(2).count() < 2:
         return None, scales, spark.createDataFrame([], SCORES_SCHEMA), spark.createDataFrame([], "loss double")
@@ -102,12 +106,16 @@ def train_anomaly(
     return model, scales, scores, loss
 
 
-def save_anomaly(model: PipelineModel, scales: DataFrame, scores: DataFrame, directory: str) -> None:
-    """Scores are stored before the threshold is found from them, so they are computed once."""
+def save_anomaly(
+    model: PipelineModel, scales: DataFrame, scores: DataFrame, directory: str, loss: DataFrame | None = None
+) -> None:
+    """Scores, and the hold-out ``loss`` if given, are stored before the threshold is found from them, so they are computed once."""
     spark = scores.sparkSession
     model.write().overwrite().save(f"{directory}/anomaly_model")
     scales.coalesce(1).write.mode("overwrite").parquet(f"{directory}/anomaly_scales")
     write_scores(scores, f"{directory}/anomaly_scores")
+    if loss is not None:
+        loss.coalesce(1).write.mode("overwrite").parquet(f"{directory}/anomaly_loss")
     stored = spark.read.parquet(f"{directory}/anomaly_scores")
     score_range(stored).write.mode("overwrite").parquet(f"{directory}/anomaly_threshold")
 

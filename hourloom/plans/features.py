@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.operators.cleaning import clean_panel
+from hourloom.operators.cleaning import clean_panel, reject_counts
 from hourloom.operators.sampling import sample_entities, sample_rows
 from hourloom.operators.windows import feature_table
 from hourloom.session import configure
@@ -24,14 +24,22 @@ def sampled(panel: DataFrame, fraction: float, mode: str = "entities") -> DataFr
 
 
 def build_features(
-    spark: SparkSession, raw_dir: str, panel_path: str, feature_path: str, fraction: float = 1.0, mode: str = "entities"
+    spark: SparkSession,
+    raw_dir: str,
+    panel_path: str,
+    feature_path: str,
+    fraction: float = 1.0,
+    mode: str = "entities",
+    lag_mode: str = "row",
 ) -> DataFrame:
     """Clean the raw files into a panel table, then compute the feature table from it.
 
     The panel is stored first: text is parsed and deduplicated once, and the window stage
-    reads only the columns it needs.
+    reads only the columns it needs.  How many texts could not be read goes to ``panel_path`` + ``-rejects``.
     """
     configure(spark)
-    write_partitioned(clean_panel(read_raw(spark, raw_dir)), panel_path)
-    write_clustered(feature_table(sampled(load(spark, panel_path), fraction, mode)), feature_path)
+    text = read_raw(spark, raw_dir)
+    reject_counts(text).write.mode("overwrite").parquet(f"{panel_path}-rejects")
+    write_partitioned(clean_panel(text), panel_path)
+    write_clustered(feature_table(sampled(load(spark, panel_path), fraction, mode), lag_mode), feature_path)
     return load(spark, feature_path)

@@ -6,15 +6,13 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
 from hourloom.operators.metrics import regression_metrics
-from hourloom.operators.sampling import SEED, split_by_key, split_by_time
-from hourloom.operators.sampling import sample_exact
+from hourloom.operators.sampling import SEED, sample_exact, split_by_key, split_by_time
 from hourloom.plans.training import feature_matrix
-from hourloom.session import durable
 from hourloom.sources.tables import load
 
 TARGETS = [(source, hours) for source in S.LEAD_SIGNALS for hours in S.LEAD_HOURS]
@@ -30,22 +28,27 @@ class ForecastSettings:
     share_of_columns: float = 0.8
     holdout: float = 0.15
     split: str = "random"
+    stop_early: bool = False
     seed: int = SEED
+    #: SQL text of a number from 0 to 1 that decides the random split in place of the key hash.
+    score: str | None = None
 
 
-def _regressor(target: str, rounds: int, settings: ForecastSettings) -> GBTRegressor:
-    return GBTRegressor(
+def _regressor(target: str, settings: ForecastSettings, validation: str | None = None) -> GBTRegressor:
+    regressor = GBTRegressor(
         featuresCol="features",
         labelCol=target,
         predictionCol="prediction",
         lossType="absolute",
-        maxIter=rounds,
+        maxIter=settings.rounds,
         maxDepth=settings.depth,
         stepSize=settings.step,
         subsamplingRate=settings.share_of_rows,
         featureSubsetStrategy=str(settings.share_of_columns),
         seed=settings.seed,
+        validationTol=0.0,
     )
+    return regressor if validation is None else regressor.setValidationIndicatorCol(validation)
 
 
 def best_rounds(losses: list[float], patience: int) -> int:
@@ -59,16 +62,28 @@ def best_rounds(losses: list[float], patience: int) -> int:
     return best + 1
 
 
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model after its first ``rounds`` rounds."""
+    whole = model._java_obj
+    trees, weights = whole.trees()[:rounds], whole.treeWeights()[:rounds]
+    jvm = SparkSession.active()._jvm
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(whole.uid(), trees, weights, whole.numFeatures())
+    return GBTRegressionModel(whole.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty()))
+
+
 def fit_forecaster(train: DataFrame, held_out: DataFrame, target: str, settings: ForecastSettings) -> GBTRegressionModel:
-    """Boost for all rounds, then refit up to the round with the least hold-out error.
+    """Boost for all rounds and keep those up to the least hold-out error.
 
-    The refit uses the same seed and so repeats the first rounds.
+    With ``stop_early`` boosting itself ends at the first round that does not lower the hold-out error, and
+    ``patience`` does not count.
     """
-    model = _regressor(target, settings.rounds, settings).fit(train)
     if held_out.isEmpty():
-        return model
-    rounds = best_rounds(model.evaluateEachIteration(held_out, "absolute"), settings.patience)
-    return model if rounds == settings.rounds else _regressor(target, rounds, settings).fit(train)
+        return _regressor(target, settings).fit(train)
+    if settings.stop_early:
+        both = train.withColumn("__held_out", F.lit(False)).unionByName(held_out.withColumn("__held_out", F.lit(True)))
+        return _regressor(target, settings, "__held_out").fit(both)
+    model = _regressor(target, settings).fit(train)
+    return first_rounds(model, best_rounds(model.evaluateEachIteration(held_out, "absolute"), settings.patience))
 
 
 def train_forecasters(
@@ -77,15 +92,20 @@ def train_forecasters(
     settings: ForecastSettings = ForecastSettings(),
     inputs: Iterable[str] | None = None,
 ) -> tuple[dict[tuple[str, int], GBTRegressionModel], DataFrame]:
-    """Models by (source, horizon), and ``(source, horizon, n, mae, rmse, r2)`` on the hold-out rows."""
+    """Models by (source, horizon), and ``(source, horizon, n, mae, rmse, r2)`` on the hold-out rows.
+
+    ``features`` should be a stored table: each model reads its inputs and its own target, several times.
+    """
     targets = [(s, h) for s, h in targets if S.lead_name(s, h) in features.columns]
     names = [S.lead_name(s, h) for s, h in targets]
-    matrix = durable(feature_matrix(features, inputs or S.forecast_features(), names))
     models, measured = {}, []
     for (source, hours), target in zip(targets, names):
-        rows = matrix.select("ba", "ts_unix", "features", target).where(F.col(target).isNotNull())
-        split = split_by_time if settings.split == "time" else split_by_key
-        train, held_out = split(rows, settings.holdout)
+        rows = feature_matrix(features, inputs or S.forecast_features(), [target]).where(F.col(target).isNotNull())
+        if settings.split == "time":
+            train, held_out = split_by_time(rows, settings.holdout)
+        else:
+            score = F.expr(settings.score) if settings.score else None
+            train, held_out = split_by_key(rows, settings.holdout, score=score)
         if train.isEmpty():
             continue
         model = fit_forecaster(train, held_out, target, settings)
@@ -108,11 +128,17 @@ def predict(model: GBTRegressionModel, features: DataFrame, target: str, inputs:
 
 
 def compare_on_sample(
-    model: GBTRegressionModel, features: DataFrame, target: str, n: int = 10_000, inputs: Iterable[str] | None = None
+    model: GBTRegressionModel,
+    features: DataFrame,
+    target: str,
+    n: int = 10_000,
+    inputs: Iterable[str] | None = None,
+    score: Column | None = None,
 ) -> DataFrame:
     """Actual and predicted values of ``n`` rows that have both."""
-    both = predict(model, features, target, inputs).where(F.col("actual").isNotNull())
-    return sample_exact(both, n)
+    rows = feature_matrix(features, inputs or S.forecast_features(), [target]).where(F.col(target).isNotNull())
+    picked = model.transform(sample_exact(rows, n, score=score))
+    return picked.select("ba", "ts_unix", F.col(target).alias("actual"), "prediction")
 
 
 def save_forecasters(models: dict[tuple[str, int], GBTRegressionModel], metrics: DataFrame, directory: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -13,14 +14,15 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
 from hourloom.operators.metrics import classification_report
-from hourloom.operators.sampling import SEED, split_stratified
-from hourloom.plans.training import feature_matrix
-from hourloom.session import durable
+from hourloom.operators.sampling import SEED, holdout_cuts, split_stratified
+from hourloom.plans.training import KEYS, feature_matrix
+from hourloom.session import stored_meanwhile
 
 LABEL = "mismatch_label"
 
@@ -36,6 +38,8 @@ class SeveritySettings:
     kind: str = "forest"
     exclude_label_source: bool = False
     seed: int = SEED
+    #: SQL text of a number that decides the split in place of the key hash.
+    score: str | None = None
 
 
 def _classifier(settings: SeveritySettings):
@@ -74,7 +78,10 @@ def train_severity(
     """The model (none without rows), its inputs in order, and ``(ba, ts_unix, actual, predicted)``
     of the hold-out rows."""
     matrix, used = severity_matrix(features, settings, inputs)
-    train, held_out = split_stratified(durable(matrix), LABEL, settings.holdout, seed=settings.seed)
+    score = F.expr(settings.score) if settings.score else None
+    with stored_meanwhile(matrix.select(*KEYS, LABEL), "severity-keys") as rows:
+        cuts = holdout_cuts(rows, LABEL, settings.holdout, seed=settings.seed, score=score)
+    train, held_out = split_stratified(matrix, LABEL, settings.holdout, seed=settings.seed, score=score, cuts=cuts)
     if train.isEmpty():
         empty = "ba string, ts_unix bigint, actual int, predicted int"
         return None, used, features.sparkSession.createDataFrame([], empty)
@@ -88,13 +95,14 @@ def classify(model: Model, matrix: DataFrame) -> DataFrame:
     )
 
 
-def importances(spark: SparkSession, model: RandomForestClassificationModel, inputs: list[str]) -> DataFrame:
-    """``(name, importance)``, summing to 1; one row per input."""
-    pairs = zip(inputs, model.featureImportances.toArray().tolist())
+def importances(spark: SparkSession, model: Model, inputs: list[str]) -> DataFrame:
+    """``(name, importance)``, summing to 1; one row per input.  Of boosted classes the mean counts."""
+    parts = model.models if isinstance(model, OneVsRestModel) else [model]
+    pairs = zip(inputs, np.mean([p.featureImportances.toArray() for p in parts], axis=0).tolist())
     return spark.createDataFrame([(n, float(v)) for n, v in pairs], "name string, importance double")
 
 
-def top_importances(spark: SparkSession, model: RandomForestClassificationModel, inputs: list[str], n: int = 20) -> DataFrame:
+def top_importances(spark: SparkSession, model: Model, inputs: list[str], n: int = 20) -> DataFrame:
     return importances(spark, model, inputs).orderBy(F.desc("importance"), "name").limit(n)
 
 
@@ -108,7 +116,11 @@ def save_severity(model: Model, inputs: list[str], predictions: DataFrame, direc
     report.coalesce(1).write.mode("overwrite").parquet(f"{directory}/severity_report")
 
 
-def load_severity(spark: SparkSession, directory: str, kind: str = "forest") -> tuple[Model, list[str]]:
+def load_severity(spark: SparkSession, directory: str, kind: str | None = None) -> tuple[Model, list[str]]:
+    """Model and input names; the kind is read from what is stored unless given."""
+    if kind is None:
+        metadata = DefaultParamsReader.loadMetadata(f"{directory}/severity_model", spark)
+        kind = "boosted" if metadata["class"].endswith("OneVsRestModel") else "forest"
     reader = OneVsRestModel if kind == "boosted" else RandomForestClassificationModel
     names = spark.read.parquet(f"{directory}/severity_inputs").orderBy("pos").toLocalIterator()
     return reader.load(f"{directory}/severity_model"), [row["name"] for row in names]

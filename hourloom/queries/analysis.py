@@ -382,9 +382,16 @@ def mismatch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("probability", r4("mismatch_mw").alias("mismatch_mw"))
 
 
-@query()
+@query(EVENT_SQL + _SCORES_SQL + " SELECT CAST(0.99 AS DOUBLE) AS probability, count(*) AS n, true AS within_bound FROM scores")
 def approximate_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return approximate_quantiles(_stored_scores(spark, sf_dir), "anomaly_score", [0.99])
+    """Whether the ranks of the value found reach the wanted rank but for ``n / accuracy``."""
+    scores, accuracy = _stored_scores(spark, sf_dir), 10_000
+    found = approximate_quantiles(scores, "anomaly_score", [0.99], accuracy)
+    value, score = found.select("anomaly_score").scalar(), F.col("anomaly_score")
+    wanted, error = F.col("n") * 0.99, F.ceil(F.col("n") / accuracy)
+    ranks = scores.agg(F.count("*").alias("n"), F.count_if(score < value).alias("below"), F.count_if(score <= value).alias("upto"))
+    within = (F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)
+    return ranks.select(F.lit(0.99).alias("probability"), "n", within.alias("within_bound"))
 
 
 @query(

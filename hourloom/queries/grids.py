@@ -17,6 +17,9 @@ from hourloom.operators.labels import add_labels
 from hourloom.session import configure
 
 FUELS = ("solar", "wind", "coal", "gas", "nuclear", "oil", "hydro", "other")
+#: Arithmetic in place of the key hash, so that SQL picks the same rows; and the same from 0 to 1.
+SCORE = "(CAST(ts_unix / 3600 AS BIGINT) * 7919 + length(ba) * 104729) % 99991"
+FRACTION = f"({SCORE}) / 99991"
 _AMOUNT = "CAST({value} AS DECIMAL(18,2))"
 
 
@@ -88,7 +91,11 @@ def event_grid(spark: SparkSession, sf_dir: str, least_rows: int = 2) -> DataFra
     return _finish(_signals(_cells(events, "event_type", "date_trunc('HOUR', ts)", "value", "user_id"), least_rows))
 
 
-EVENT_SQL = _cells_sql("events", "event_type", "date_trunc('hour', ts)", "value", "user_id", 2)
+def event_sql(least_rows: int = 2) -> str:
+    return _cells_sql("events", "event_type", "date_trunc('hour', ts)", "value", "user_id", least_rows)
+
+
+EVENT_SQL = event_sql()
 
 _SUPPLIER = "concat('S', CAST(l_suppkey AS {text}))"
 

@@ -11,7 +11,7 @@ from hourloom.operators import cleaning, labels, reports, sampling
 from hourloom.operators.alignment import actual_vs_forecast, attach_scores, event_overlay
 from hourloom.operators.windows import add_leads
 from hourloom.plans.anomaly import signal_scales, standardise
-from hourloom.queries.grids import EVENT_SQL, SHIPMENT_SQL, event_grid, shipment_grid, table
+from hourloom.queries.grids import EVENT_SQL, FRACTION, SCORE, SHIPMENT_SQL, event_grid, shipment_grid, table
 from hourloom.queries.registry import query, r4, r4_sql
 from hourloom.session import durable
 from hourloom.sources import raw
@@ -284,26 +284,24 @@ def series_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.in_series_order(event_grid(spark, sf_dir).select("ba", "ts_unix", "demand_mw"))
 
 
-_SCORE = "(CAST(ts_unix / 3600 AS BIGINT) * 7919 + length(ba) * 104729) % 99991"
 
-
-@query(SHIPMENT_SQL + f" SELECT ba, ts_unix, net_gen_mw FROM panel ORDER BY {_SCORE}, ba, ts_unix LIMIT 5000")
+@query(SHIPMENT_SQL + f" SELECT ba, ts_unix, net_gen_mw FROM panel ORDER BY {SCORE}, ba, ts_unix LIMIT 5000")
 def downsample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5,000 rows for display, in time order; an arithmetic score in place of the hash."""
     rows = shipment_grid(spark, sf_dir).select("ba", "ts_unix", "net_gen_mw")
-    return sampling.sample_exact(rows, 5000, score=F.expr(_SCORE)).orderBy("ts_unix", "ba")
+    return sampling.sample_exact(rows, 5000, score=F.expr(SCORE)).orderBy("ts_unix", "ba")
 
 
 @query(
     SHIPMENT_SQL
-    + f""", scored AS (SELECT ba, ts_unix, mismatch_label, {_SCORE} AS score FROM panel WHERE mismatch_label IS NOT NULL)
+    + f""", scored AS (SELECT ba, ts_unix, mismatch_label, {SCORE} AS score FROM panel WHERE mismatch_label IS NOT NULL)
 SELECT ba, ts_unix, CAST(mismatch_label AS INT) AS mismatch_label,
        rank() OVER (PARTITION BY mismatch_label ORDER BY score)
          <= floor(count(*) OVER (PARTITION BY mismatch_label) * 0.15 + 0.5) AS held_out FROM scored"""
 )
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = durable(shipment_grid(spark, sf_dir).select("ba", "ts_unix", "mismatch_label"))
-    return sampling.mark_holdout(rows, "mismatch_label", 0.15, score=F.expr(_SCORE))
+    return sampling.mark_holdout(rows, "mismatch_label", 0.15, score=F.expr(SCORE))
 
 
 @query(
@@ -315,22 +313,29 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.withColumn("held_out", F.lit(False)).unionByName(held.withColumn("held_out", F.lit(True)))
 
 
-@query()
+_ENTITY_FRACTION = "(CAST(substr(ba, 2) AS BIGINT) * 7919 % 1009) / 1009"
+
+
+@query(
+    SHIPMENT_SQL
+    + f""" SELECT CASE WHEN {FRACTION} < 0.15 THEN 'held out' ELSE 'train' END AS part, count(*) AS rows,
+ {r4_sql('avg(net_gen_mw)')} AS avg_net_gen_mw FROM panel GROUP BY 1"""
+)
 def key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held = sampling.split_by_key(shipment_grid(spark, sf_dir), 0.15)
+    train, held = sampling.split_by_key(shipment_grid(spark, sf_dir), 0.15, score=F.expr(FRACTION))
     parts = train.select(F.lit("train").alias("part"), "net_gen_mw").unionByName(held.select(F.lit("held out").alias("part"), "net_gen_mw"))
-    return parts.groupBy("part").agg(F.count("*").alias("rows"), F.avg("net_gen_mw").alias("avg_net_gen_mw"))
+    return parts.groupBy("part").agg(F.count("*").alias("rows"), r4(F.avg("net_gen_mw")).alias("avg_net_gen_mw"))
 
 
-@query()
+@query(SHIPMENT_SQL + f" SELECT ba, count(*) AS rows FROM panel WHERE {_ENTITY_FRACTION} < 0.2 GROUP BY ba")
 def entity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = sampling.sample_entities(shipment_grid(spark, sf_dir), 0.2)
+    kept = sampling.sample_entities(shipment_grid(spark, sf_dir), 0.2, score=F.expr(_ENTITY_FRACTION))
     return kept.groupBy("ba").agg(F.count("*").alias("rows"))
 
 
-@query()
+@query(SHIPMENT_SQL + f" SELECT ba, ts_unix, net_gen_mw FROM panel WHERE {FRACTION} < 0.2")
 def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample_rows(shipment_grid(spark, sf_dir), 0.2, keys=("ba", "ts_unix")).select("ba", "ts_unix", "net_gen_mw")
+    return sampling.sample_rows(shipment_grid(spark, sf_dir), 0.2, score=F.expr(FRACTION)).select("ba", "ts_unix", "net_gen_mw")
 
 
 _SCALED = ", ".join(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-#: Largest table, in rows, that a join may broadcast.  The rows broadcast here are a few
-#: numbers wide, so this stays near 100 MB on each executor.
-BROADCAST_ROWS = 1_000_000
+#: Largest table, in rows, that a join may broadcast.  Such rows are a group's key and two numbers
+#: wide, so this stays near 10 MB on each executor.
+BROADCAST_ROWS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -23,11 +25,6 @@ def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast join only if ``df`` proves small; otherwise the join shuffles both sides."""
-    return F.broadcast(df) if is_small(df, limit) else df
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``; a fresh temporary one only on a local master."""
     context = spark.sparkContext
@@ -44,8 +41,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and cut its lineage.
 
-    Used before iterative fits: they read the same rows many times, and a lost executor then
-    costs a re-read of a file and not a rebuild of every window.
+    For narrow tables that are read as a whole.  A lost executor then costs a re-read of a file and not a rebuild.
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _write_new(df: DataFrame, name: str) -> str:
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a new Parquet table in the checkpoint folder: readers fetch only the columns they use."""
+    return df.sparkSession.read.parquet(_write_new(df, name))
+
+
+@contextmanager
+def stored_meanwhile(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As :func:`stored`; the table is removed at the end of the block."""
+    path, context = _write_new(df, name), df.sparkSession.sparkContext
+    try:
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

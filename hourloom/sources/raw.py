@@ -43,12 +43,17 @@ def audit_files(expected: DataFrame, present: DataFrame, min_bytes: int = S.MIN_
 def coverage_audit(
     spark: SparkSession, directory: str, first_year: int = 2019, last_year: int = 2024, min_bytes: int = S.MIN_VALID_BYTES
 ) -> DataFrame:
-    """Audit of a directory; only names and sizes are listed, no file is opened."""
+    """Audit of a directory; only names and sizes are listed, no file is opened.
+
+    Raw files of other years are listed too, as ``unexpected``, with neither year nor half.
+    """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", S.RAW_FILE_GLOB).load(directory)
     present = listed.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("bytes")
     )
-    return audit_files(manifest(spark, first_year, last_year), present, min_bytes)
+    expected = manifest(spark, first_year, last_year)
+    others = present.join(expected, "file_name", "left_anti").withColumn("status", F.lit("unexpected"))
+    return audit_files(expected, present, min_bytes).unionByName(others, allowMissingColumns=True)
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:

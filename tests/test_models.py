@@ -1,3 +1,6 @@
+import os
+from dataclasses import replace
+
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -5,7 +8,7 @@ from pyspark.sql import functions as F
 from hourloom.operators.labels import add_labels
 from hourloom.operators.windows import add_leads
 from hourloom.plans import anomaly, forecast, severity
-from hourloom.session import checkpoint_dir, durable
+from hourloom.session import checkpoint_dir, durable, stored_meanwhile
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +120,36 @@ def test_durable_uses_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", "")
     assert named in checkpoint_dir(spark)
     assert durable(spark.range(3)).count() == 3
+
+
+@pytest.mark.parametrize("rounds", [1, 3, 6])
+def test_cut_model_equals_a_fit_of_fewer_rounds(features, rounds):
+    rows = features.where("solar_t6h_ahead IS NOT NULL")
+    rows = forecast.feature_matrix(rows, INPUTS, ["solar_t6h_ahead"])
+    cut = forecast.first_rounds(forecast._regressor("solar_t6h_ahead", FAST).fit(rows), rounds)
+    fewer = forecast._regressor("solar_t6h_ahead", replace(FAST, rounds=rounds)).fit(rows)
+    assert cut.getNumTrees == rounds and cut.numFeatures == 3
+    pairs = fewer.transform(rows).select("ba", "ts_unix", F.col("prediction").alias("p")).join(cut.transform(rows), ["ba", "ts_unix"])
+    assert pairs.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
+
+
+def test_boosting_stops_by_itself(features):
+    settings = replace(FAST, rounds=60, stop_early=True)
+    models, metrics = forecast.train_forecasters(features, [("solar", 24)], settings, INPUTS)
+    assert 1 <= models["solar", 24].getNumTrees < 60 and metrics.first().r2 > 0.9
+
+
+def test_stored_table_goes_at_the_end(spark):
+    with stored_meanwhile(spark.range(5), "some") as table:
+        path = table.inputFiles()[0].removeprefix("file:")
+        assert table.count() == 5 and os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_kind_and_importances_of_the_boosted_classifier(spark, features, tmp_path):
+    settings = severity.SeveritySettings(trees=3, depth=3, kind="boosted")
+    model, used, predictions = severity.train_severity(features, settings, INPUTS)
+    severity.save_severity(model, used, predictions, str(tmp_path))
+    again, names = severity.load_severity(spark, str(tmp_path))
+    rows = severity.importances(spark, again, names)
+    assert names == INPUTS and rows.count() == 3 and rows.agg(F.sum("importance")).first()[0] == pytest.approx(1)

@@ -122,3 +122,17 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     main(["train", "severity", str(tmp_path / "f"), str(tmp_path / "m")])
     printed = capsys.readouterr().out
     assert "EIA930_BALANCE_2019_Jan_Jun.csv" in printed and "mismatch_label" in printed
+
+
+def test_raw_files_of_other_years_are_listed(spark, raw_dir):
+    audit = {r.file_name[15:22]: (r.year, r.status) for r in raw.coverage_audit(spark, raw_dir, 2021, 2021, min_bytes=1000).collect()}
+    assert audit == {"2020_Ju": (None, "unexpected"), "2021_Ja": (2021, "ok"), "2021_Ju": (2021, "tiny")}
+
+
+def test_options_of_the_command_line(spark, raw_dir, tmp_path, capsys):
+    main(["audit", raw_dir, "--first-year", "2020", "--last-year", "2020"])
+    assert "unexpected" in capsys.readouterr().out
+    main(["features", raw_dir, str(tmp_path / "p"), str(tmp_path / "f"), "--lag-mode", "time"])
+    assert spark.read.parquet(str(tmp_path / "p-rejects")).where("column = 'ts_utc'").count() == 1
+    main(["train", "forecast", str(tmp_path / "f"), str(tmp_path / "m"), "--split", "time", "--stop-early"])
+    main(["train", "anomaly", str(tmp_path / "f"), str(tmp_path / "m"), "--contiguous"])

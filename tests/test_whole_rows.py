@@ -6,7 +6,8 @@ from hourloom.functions.scalar import parse_number
 from hourloom.operators.cleaning import finite_or_null
 from hourloom.operators.labels import entity_codes
 from hourloom.operators.reports import filter_time, histogram
-from hourloom.operators.windows import add_lags
+from hourloom.operators.sampling import sample_entities, sample_exact, sample_rows, split_by_key
+from hourloom.operators.windows import add_lags, hourly_grid
 
 
 def test_rows_without_a_time_stay(spark, panel):
@@ -39,3 +40,26 @@ def test_time_ranges_prune_a_stored_table(spark, tmp_path):
     cut = filter_time(spark.read.parquet(str(tmp_path / "t")), "2018-03-01", "2018-03-31")
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert cut.count() == 30 and "year" in plan.split("PartitionFilters")[1].split("]")[0] and "ts_unix" in plan.split("PushedFilters")[1]
+
+
+def test_hourly_grid_keeps_rows_off_the_hour_and_without_keys(spark):
+    rows = [("a", 1800), ("a", 7200), ("a", 10800), ("a", 10801), ("b", 5), (None, 3600), ("c", None)]
+    panel = spark.createDataFrame([(*r, float(i)) for i, r in enumerate(rows)], "ba string, ts_unix bigint, solar_mw double")
+    got = {(r.ba, r.ts_unix): r.solar_mw for r in hourly_grid(panel).collect()}
+    assert got == {**{r: float(i) for i, r in enumerate(rows)}, ("a", 3600): None}
+
+
+def test_exact_sample_cuts_before_it_orders(spark):
+    df = spark.range(1000).selectExpr("concat('s', id % 3) AS ba", "id AS ts_unix", "id DIV 7 AS s")
+    picked = sample_exact(df, 40, score=F.col("s"))
+    assert sorted(r.ts_unix for r in picked.collect()) == [*range(38), 39, 40] and picked.columns == df.columns
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert "__score" in plan and "scalar-subquery" in plan
+    assert sample_exact(df, 5000).count() == 1000 and sample_exact(df, 0).count() == 0 and sample_exact(df.limit(0), 5).count() == 0
+
+
+def test_samples_and_splits_by_a_score(spark):
+    df = spark.range(10).selectExpr("'x' AS ba", "id AS ts_unix", "CASE WHEN id < 8 THEN id / 10.0 END AS s")
+    train, held = split_by_key(df, 0.35, score=F.col("s"))
+    assert held.count() == 4 and train.count() == 6
+    assert sample_rows(df, 0.2, score=F.col("s")).count() == sample_entities(df, 0.2, score=F.col("s")).count() == 2
