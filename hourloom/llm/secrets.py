@@ -26,7 +26,7 @@ _BREAK = re.compile(r"\n[ \t\r]*\n")
 
 #: Order of kinds that start at one place.
 KINDS = ("assign", "access", "hex", "linked_identifier", "linked_secret", "linked_endpoint")
-#: Code points between parts of one credential, at most.
+#: Code points between the end of one part of a credential and the start of the next one, at most.
 REACH = 400
 
 
@@ -108,9 +108,9 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     Base spans are assignments, access ids and long hexadecimal runs. Weak parts (a login name, a mixed random string, an
     address) say little alone. Within a scope, a stretch of text between blank lines, an interval join by window frames asks
-    what lies within ``reach`` code points before or after: a weak secret is linked if an identifier is near, a weak
-    identifier if a secret is, an address if both are. A frame holds counts by role, so many parts in one document do not turn
-    into pairs. The texts are scanned once, into a table of spans that is written before the join. Null and empty texts
+    what lies within ``reach`` code points before or after, from the end of one part to the start of the other: a weak secret is
+    linked if an identifier is near, a weak identifier if a secret is, an address if both are. Running frames hold, by role, the
+    furthest end so far and the next start to come, so many parts in one document do not turn into pairs. The texts are scanned once, into a table of spans that is written before the join. Null and empty texts
     have no spans; repeated rows and null ids each get their own row.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -119,11 +119,18 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     found = docs.select("doc_id", "text").mapInArrow(_scan, schema).withColumn("row", F.monotonically_increasing_id())
     found = durable(found)
     parts = found.where("size(parts) > 0").select("row", F.inline("parts"))
-    near = Window.partitionBy("row", "scope").orderBy("start").rangeBetween(-reach, reach)
-    count = {r: F.count(F.when(F.col("role") == r, 1)).over(near) for r in ("identifier", "secret")}
+    order = ("start", "end", "role")
+    scope = Window.partitionBy("row", "scope").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before, after = scope.orderBy(*order), scope.orderBy(*(F.desc(c) for c in order))
+    own = lambda role, column: F.when(F.col("role") == role, F.col(column))
+    near = {
+        role: F.coalesce(F.max(own(role, "end")).over(before) + reach >= F.col("start"), F.lit(False))
+        | F.coalesce(F.min(own(role, "start")).over(after) - reach <= F.col("end"), F.lit(False))
+        for role in ("identifier", "secret")
+    }
     linked = (
-        parts.withColumns({"identifiers": count["identifier"], "secrets": count["secret"]})
-        .where("weak AND CASE role WHEN 'secret' THEN identifiers > 0 WHEN 'identifier' THEN secrets > 0 ELSE identifiers > 0 AND secrets > 0 END")
+        parts.withColumns({"by_identifier": near["identifier"], "by_secret": near["secret"]})
+        .where("weak AND CASE role WHEN 'secret' THEN by_identifier WHEN 'identifier' THEN by_secret ELSE by_identifier AND by_secret END")
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", F.concat(F.lit("linked_"), "role").alias("kind")))).alias("linked"))
     )

@@ -93,6 +93,25 @@ def test_weak_parts_need_their_complement(spark):
     assert got == {1: ["linked_identifier", "linked_secret"], 2: [], 3: [], 4: [], 5: ["linked_endpoint", "linked_identifier", "linked_secret"]}
 
 
+def test_links_measure_the_gap_between_parts(spark):
+    name, long = "client_id=maria", "Ab1" * 150
+    texts = [f"{long} {name}", f"{name} {long}", f"db://{'h' * 500} {long} {name}", f"{long}{' ' * 400}{name}", f"{long}{' ' * 401}{name}", f"{name} x:// {long} {' ' * 390} a://bcde"]
+    rng = random.Random(8)
+    parts = [name, long, "Ab1" * 12, "secret=abcdef", "AKIA" + "Z9" * 10, "db://host/x", "\n\n", "w " * 150, "w " * 201]
+    texts += [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(80)]
+    want = {}
+    for i, text in enumerate(texts):
+        runs = secrets._long_runs(text)
+        base = [(s, e, {"access": "identifier"}.get(k, "secret")) for s, e, k in secrets.base_spans(text, runs)]
+        weak = [w for w in secrets._weak_parts(text, runs) if all(w[1] <= s or e <= w[0] for s, e, _ in base)]
+        scope = lambda s: len([m for m in secrets._BREAK.finditer(text) if m.end() <= s])
+        near = lambda p, role: any(q[2] == role and scope(p[0]) == scope(q[0]) and max(p[0], q[0]) - min(p[1], q[1]) <= 400 for q in base + weak)
+        needs = {"secret": ["identifier"], "identifier": ["secret"], "endpoint": ["identifier", "secret"]}
+        want[i] = sorted((s, e, f"linked_{k}") for s, e, k in weak if all(near((s, e, k), r) for r in needs[k]))
+    assert [len(want[i]) for i in range(5)] == [2, 2, 2, 2, 0]
+    assert {r.doc_id: [tuple(s) for s in r.linked] for r in secrets.find_secrets(_frame(spark, list(enumerate(texts)))).collect()} == want
+
+
 def _sets(rows, n):
     for d, t in rows:
         w = (t or "").encode().lower().split()
