@@ -8,13 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.llm.bytewords import buffers, mix
 from hourloom.llm.common import slices
+from hourloom.session import BROADCAST_ROWS, durable
 
-#: Most labelled documents of one language that a fit reads, and the bytes of all of them together.
+#: Most labelled documents of one language that a fit reads, and the bytes that all languages share.
 SAMPLE, SAMPLE_BYTES = 400, 16_000_000
 _LETTER = re.compile(r"[^\W\d_]")
 _BUCKETS_BITS = 16
@@ -69,6 +70,8 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def fit_language(texts: list[str], labels: list[str], size: int = 16, rounds: int = 6, rate: float = 30.0, seed: int = 7) -> LanguageModel:
     """Stochastic gradient descent over whole texts; a tenth of them calibrates the temperature and the rejection.
 
+    A language whose texts all fell into that tenth is learned from them instead.
+
     The threshold is the confidence under which one in a hundred right calibration answers falls. Without any labels the
     model knows no language and rejects everything.
     """
@@ -83,6 +86,8 @@ def fit_language(texts: list[str], labels: list[str], size: int = 16, rounds: in
     data = [d for d in data if len(d[0])]
     order = rng.permutation(len(data))
     held, rest = order[: len(data) // 10], order[len(data) // 10 :]
+    learned = np.isin([data[i][2] for i in held], [data[i][2] for i in rest])
+    held, rest = held[learned], np.concatenate([rest, held[~learned]])
     for step in range(rounds):
         pace = rate * (1 - step / rounds)
         for i in rng.permutation(rest):
@@ -136,31 +141,30 @@ def _predict(model: LanguageModel):
 
 
 def training_sample(labelled: DataFrame, per_language: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
-    """Whole texts and languages: up to ``per_language`` documents a language by the hash of the id, ``most_bytes`` in all.
+    """Whole texts and languages of every ``lang`` but null: up to ``per_language`` documents each, by the hash of the id.
 
-    Each task keeps its own smallest hashes, so no task and not the driver gathers a language. At most 64 languages, the
-    most frequent, are learned: the sample stays bounded whatever the column holds.
+    The languages share ``most_bytes`` evenly, and each has its first document whatever its size, so the sample is bounded by
+    rows and bytes a language and none goes unlearned. Ranks are taken over hashes and sizes, without the texts; each task
+    passes on its own smallest hashes only, so no task and not the driver gathers a language. What is left is one last hash a
+    language, and a second scan reads the texts up to it.
     """
-    from pyspark.sql import Window
-
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()
-    total = sum(r["count"] for r in frequent)
-    ids = None
-    keyed = labelled.select("doc_id", "lang", "text", F.xxhash64("doc_id", "lang").alias("order"), F.octet_length("text").alias("bytes"))
-    for row in frequent:
-        share = min(1.0, 4 * per_language / max(1, row["count"]))
-        own = keyed.where((F.col("lang") == row["lang"]) & (F.pmod(F.col("order"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-        ids = own if ids is None else ids.unionByName(own)
-    if not total:
+    own = Window.partitionBy("lang").orderBy("order", "tie")
+    so_far = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keyed = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", "text", F.xxhash64("doc_id", "lang").alias("order"), F.xxhash64("text").alias("tie"), F.octet_length("text").alias("bytes")
+    )
+    first = lambda rows: rows.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= per_language)
+    ranked = durable(first(keyed.drop("text")))
+    languages = ranked.select("lang").distinct().count()
+    if not languages:
         return [], []
-    first = ids.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))).where(F.col("rank") <= per_language)
-    texts, labels, used = [], [], 0
-    for row in first.select("lang", "text", "bytes", "rank").orderBy("rank", "lang").toLocalIterator():
-        if used + row["bytes"] <= most_bytes:
-            texts.append(row["text"])
-            labels.append(row["lang"])
-            used += row["bytes"]
-    return texts, labels
+    fits = (F.col("rank") == 1) | (F.sum("bytes").over(so_far) <= most_bytes // languages)
+    last = ranked.withColumn("fits", fits).where("fits").groupBy("lang").agg(F.max(F.struct("order", "tie")).alias("last"), F.max("rank").alias("many"))
+    if languages <= BROADCAST_ROWS:
+        last = F.broadcast(last)
+    chosen = first(keyed.join(last, "lang").where(F.struct("order", "tie") <= F.col("last"))).where(F.col("rank") <= F.col("many"))
+    rows = list(chosen.select("lang", "text", "rank").orderBy("rank", "lang").toLocalIterator())
+    return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

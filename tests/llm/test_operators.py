@@ -228,6 +228,25 @@ def test_language_and_toxicity_on_held_out_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in range(240) if got[i] < 0.5}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(4)
+    langs = {f"l{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for k in range(70)}
+    rows = [(i * 100 + j, " ".join(rng.choices(words, k=30)), lang) for i, (lang, words) in enumerate(langs.items()) for j in range(1 + i % 3 + 20 * (i == 0))]
+    rows += [(None, "no id", "l00"), (None, "no id", "l00"), (1, None, "l01"), (2, "no language", None), (3, "x" * 5000, "only a long one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    texts, labels = language.training_sample(docs)
+    assert sorted(zip(texts, labels)) == sorted((t, k) for _, t, k in rows if t and k)
+    texts, labels = language.training_sample(docs, 5, 71 * 450)
+    counts, sizes = collections.Counter(labels), collections.Counter()
+    for t, k in zip(texts, labels):
+        sizes[k] += len(t)
+    assert set(counts) == set(langs) | {"only a long one"} and max(counts.values()) <= 5 and counts["only a long one"] == 1
+    assert all(size <= 450 for k, size in sizes.items() if counts[k] > 1)
+    model = language.fit_language(*language.training_sample(docs), rounds=40)
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs.where("doc_id % 100 = 0"), model).collect()}
+    assert sum(got[i * 100] == k for i, k in enumerate(langs)) >= 65
+
+
 def test_empty_tables(spark):
     empty = _frame(spark, [(1, "x")]).where("false")
     none = spark.createDataFrame([], "item_id long, text string")
