@@ -1,4 +1,4 @@
-"""An interpolated modified Kneser-Ney bigram model: counted by Spark, stored as sorted arrays, memory-mapped by workers."""
+"""An interpolated modified Kneser-Ney model of any order from 2: counted by Spark, stored as sorted arrays, memory-mapped by workers."""
 
 from __future__ import annotations
 
@@ -28,7 +28,8 @@ class KneserNey:
     bits: int
     bases: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     tokens: int = 0
-    discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
+    order: int = 2
+    discounts: dict[int, tuple[float, float, float]] = field(default_factory=dict)
     unigram_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
     unigram_total: int = 0
     unigram_left: float = 1.0
@@ -50,15 +51,17 @@ class KneserNey:
             counts[own] = np.where(hit, open_array(self.folder, f"counts-{b}")[at], 0)
         return ids, counts
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray, index: str, values: str) -> np.ndarray:
+        """Rows of ``values`` for the keys that ``index`` holds, in buckets by hash; zeros for others."""
         bucket = mix(keys) >> np.uint64(64 - self.bits)
         order = np.argsort(bucket, kind="stable")
-        out = np.zeros(len(keys), np.int64)
+        out = np.zeros((len(keys), 4) if values.startswith("sums") else len(keys), np.int64)
         for b, own in _by_bucket(bucket[order]):
-            rows, stored = order[own], open_array(self.folder, f"pairs-{b}")
+            rows, stored = order[own], open_array(self.folder, f"{index}-{b}")
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
-                out[rows] = np.where(stored[at] == keys[rows], open_array(self.folder, f"pair_counts-{b}")[at], 0)
+                hit = stored[at] == keys[rows]
+                out[rows[hit]] = open_array(self.folder, f"{values}-{b}")[at[hit]]
         return out
 
     def ranged(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -151,32 +154,114 @@ def _ids(model: KneserNey, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[inverse], counts[inverse]
 
 
-def _count_pairs(model: KneserNey):
-    def keys_of(batch: pa.RecordBatch) -> np.ndarray:
-        hashed, _ = _tokens(batch)
-        ids, _ = _ids(model, np.concatenate([[END_HASH], hashed]))
-        return (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64)
+def _history(model: KneserNey, ids: np.ndarray, end: int, bounds: np.ndarray) -> list[np.ndarray]:
+    """Columns of the n-grams that end at each token; before a text there are ends only."""
+    at, begin = np.arange(len(ids)), np.repeat(bounds[:-1], np.diff(bounds))
+    return [np.where(at - j >= begin, ids[np.maximum(at - j, 0)], end).astype(np.uint32) for j in range(model.order - 1, -1, -1)]
 
-    def pack(keys, counts):
-        bucket = mix(keys) >> np.uint64(64 - model.bits)
-        first = (keys >> np.uint64(32)).astype(np.uint32)
-        return _blobs(bucket, [first, (keys & _LOW).astype(np.uint32), counts.astype(np.uint32)], np.argsort(bucket, kind="stable"))
 
-    return lambda batches: _collect(batches, keys_of, pack)
+def _key(columns: list[np.ndarray]) -> np.ndarray:
+    """One word or two as they are; a 64-bit print of more."""
+    key = columns[0].astype(np.uint64)
+    for i, column in enumerate(columns[1:]):
+        key = (key << np.uint64(32)) | column if i == 0 else mix(mix(key) + column.astype(np.uint64))
+    return key
 
 
-def _store_pairs(folder: str):
+def _merged(columns: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct n-grams by key, their columns and the sums of their counts."""
+    keys = _key(columns)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.add.reduceat(counts[order].astype(np.int64), heads) if len(keys) else counts.astype(np.int64)
+    return keys[heads], [c[order[heads]] for c in columns], counts
+
+
+def _dealt(model: KneserNey, keys: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    bucket = mix(keys) >> np.uint64(64 - model.bits)
+    return _blobs(bucket, columns, np.argsort(bucket, kind="stable"))
+
+
+def _count_grams(model: KneserNey):
+    """Counts of the n-grams of the highest order, combined in the task until it holds many different ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[list[np.ndarray], np.ndarray]] = []
+        join = lambda: _merged([np.concatenate(c) for c in zip(*(g for g, _ in held))], np.concatenate([n for _, n in held]))
+        for batch in slices(batches, "text"):
+            hashed, bounds = _tokens(batch)
+            ids, _ = _ids(model, np.concatenate([[END_HASH], hashed]))
+            columns = _history(model, ids[1:], int(ids[0]), bounds)
+            held.append(_merged(columns, np.ones(len(hashed), np.int64))[1:])
+            if sum(len(n) for _, n in held) > _HELD:
+                keys, columns, counts = join()
+                held = [(columns, counts)]
+                if len(keys) > _HELD // 2:
+                    yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
+                    held = []
+        if held:
+            keys, columns, counts = join()
+            yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
+
+    return run
+
+
+def _store_grams(model: KneserNey, n: int):
+    """A bucket of n-grams; the columns of three words or more are kept for the order below."""
+
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        keys = (_joined(table, "c0", np.uint32).astype(np.uint64) << np.uint64(32)) | _joined(table, "c1", np.uint32).astype(np.uint64)
-        keys, counts = _summed(keys, _joined(table, "c2", np.uint32).astype(np.uint64))
-        save_array(folder, f"pairs-{bucket}", keys)
-        save_array(folder, f"pair_counts-{bucket}", counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64))
+        keys, columns, counts = _merged([_joined(table, f"c{i}", np.uint32) for i in range(n)], _joined(table, f"c{n}", np.uint32))
+        save_array(model.folder, f"grams{n}-{bucket}", keys)
+        save_array(model.folder, f"counts{n}-{bucket}", counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64))
+        if n > 2:
+            save_array(model.folder, f"columns{n}-{bucket}", np.array(columns, np.uint32))
         return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)}})
 
     return run
 
 
+def _lower_grams(model: KneserNey, n: int):
+    """From n-grams: each one without its first word, to be counted by what precedes it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket in batch.column("bucket").to_pylist():
+                stored = np.asarray(open_array(model.folder, f"columns{n}-{bucket}"))
+                keys, columns, counts = _merged(list(stored[1:]), np.ones(stored.shape[1], np.int64))
+                if len(keys):
+                    yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
+
+    return run
+
+
+def _count_contexts(model: KneserNey, n: int):
+    """From n-grams: what follows each context of n - 1 words, as tokens and as types by count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket in batch.column("bucket").to_pylist():
+                stored, counts = np.asarray(open_array(model.folder, f"columns{n}-{bucket}")), np.asarray(open_array(model.folder, f"counts{n}-{bucket}"), np.int64)
+                keys, *sums = _summed(_key(list(stored[:-1])), counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64))
+                if len(keys):
+                    yield _dealt(model, keys, [keys, *(s.astype(np.uint32) for s in sums)])
+
+    return run
+
+
+def _store_contexts(model: KneserNey, n: int):
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, *sums = _summed(_joined(table, "c0", np.uint64), *(_joined(table, f"c{i}", np.uint32).astype(np.int64) for i in (1, 2, 3, 4)))
+        save_array(model.folder, f"contexts{n}-{bucket}", keys)
+        sums = np.stack(sums, 1)
+        save_array(model.folder, f"sums{n}-{bucket}", sums.astype(np.uint32 if sums.max(initial=0) < 1 << 32 else np.int64))
+        return pa.table({"bucket": pa.array([bucket], pa.int32())})
+
+    return run
+
+
 def _count_words_around(model: KneserNey):
     """From pairs: what follows each word (tokens and types by count) and how many types precede it."""
 
@@ -184,7 +269,7 @@ def _count_words_around(model: KneserNey):
         width = _width(model.types, model.bits)
         for batch in batches:
             for bucket in batch.column("bucket").to_pylist():
-                keys, counts = open_array(model.folder, f"pairs-{bucket}"), np.asarray(open_array(model.folder, f"pair_counts-{bucket}"), np.int64)
+                keys, counts = open_array(model.folder, f"grams2-{bucket}"), np.asarray(open_array(model.folder, f"counts2-{bucket}"), np.int64)
                 if not len(keys):
                     continue
                 ids, *sums = _summed((keys >> np.uint64(32)).astype(np.int64), counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64))
@@ -225,19 +310,21 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(float(min(max(d, 0.05), i + 0.95)) for i, d in enumerate(raw))
 
 
-def train(docs: DataFrame) -> KneserNey:
-    """Count a model over all whole texts of ``docs``.
+def train(docs: DataFrame, order: int = 3) -> KneserNey:
+    """Count a model of ``order`` words, 2 or more, over all whole texts of ``docs``.
 
     Tasks combine the counts of their texts and send them as sorted arrays, one a bucket of the hash range; words first, then
-    pairs of word ids, then sums over pairs by word. Each bucket is merged, sorted and written by one task into the
-    session's shared folder; the number of buckets follows the bytes of text, so a bucket stays small, and since pairs
-    are dealt by the hash of both words a frequent word fills no bucket. The driver sees a few numbers a bucket. A
+    n-grams of word ids, then from each order the one below, counted by what precedes, and sums over n-grams by context. Each bucket is merged, sorted and written by one task into the
+    session's shared folder; the number of buckets follows the bytes of text, so a bucket stays small, and since n-grams
+    are dealt by the hash of all their words a frequent word fills no bucket. The driver sees a few numbers a bucket. A
     repeated task writes the same files. Null text counts as empty, a text of one end token; an empty table gives a model
     that knows nothing.
     """
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(5, (size // _FILE_BYTES).bit_length())
-    model = KneserNey(shared_folder(docs.sparkSession, "kneser-ney"), bits)
+    model = KneserNey(shared_folder(docs.sparkSession, "kneser-ney"), bits, order=order)
     blobs = lambda n: "bucket int, " + ", ".join(f"c{i} binary" for i in range(n))
     texts, buckets = docs.select("text"), 1 << bits
     stored = texts.mapInArrow(_count_words(bits), blobs(2)).groupBy("bucket").applyInArrow(_store_words(model.folder), "bucket int, size long, tokens long").collect()
@@ -254,13 +341,21 @@ def train(docs: DataFrame) -> KneserNey:
     if model.types >= 1 << 32:
         raise ValueError("more than 2**32 different words")
     counts = "n1 long, n2 long, n3 long, n4 long"
-    stored = texts.mapInArrow(_count_pairs(model), blobs(3)).groupBy("bucket").applyInArrow(_store_pairs(model.folder), f"bucket int, {counts}").collect()
-    for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
-        save_array(model.folder, f"pairs-{b}", np.zeros(0, np.uint64))
-        save_array(model.folder, f"pair_counts-{b}", np.zeros(0, np.uint32))
-    model.discounts = _discounts([sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)])
     spark = docs.sparkSession
     files = spark.range(0, buckets, 1, buckets).select(F.col("id").cast("int").alias("bucket"))
+    for n in range(order, 1, -1):
+        rows = texts.mapInArrow(_count_grams(model), blobs(n + 1)) if n == order else files.mapInArrow(_lower_grams(model, n + 1), blobs(n + 1))
+        stored = rows.groupBy("bucket").applyInArrow(_store_grams(model, n), f"bucket int, {counts}").collect()
+        for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
+            save_array(model.folder, f"grams{n}-{b}", np.zeros(0, np.uint64))
+            save_array(model.folder, f"counts{n}-{b}", np.zeros(0, np.uint32))
+            save_array(model.folder, f"columns{n}-{b}", np.zeros((n, 0), np.uint32))
+        model.discounts[n] = _discounts([sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)])
+        if n > 2:
+            stored = files.mapInArrow(_count_contexts(model, n), blobs(5)).groupBy("bucket").applyInArrow(_store_contexts(model, n), "bucket int").collect()
+            for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
+                save_array(model.folder, f"contexts{n}-{b}", np.zeros(0, np.uint64))
+                save_array(model.folder, f"sums{n}-{b}", np.zeros((0, 4), np.uint32))
     around = files.mapInArrow(_count_words_around(model), blobs(7)).groupBy("bucket")
     stored = around.applyInArrow(_store_words_around(model), f"bucket int, {counts}, more long, total long").collect()
     n = [sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)]
@@ -274,6 +369,11 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.maximum(counts - np.array([0.0, *d])[np.minimum(counts, 3)], 0)
 
 
+def _left(sums: np.ndarray, d: tuple[float, float, float] | None) -> np.ndarray:
+    """What the discounts leave for the order below; all of it after a context that training never saw."""
+    return np.where(sums[:, 0] > 0, sums[:, 1:] @ np.array(d or (0.5, 1.0, 1.5)) / np.maximum(sums[:, 0], 1), 1.0)
+
+
 def _scores(model: KneserNey):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -288,12 +388,21 @@ def _scores(model: KneserNey):
             lower = model.unigram_left / (model.types + 1)
             lower = lower + _discount(before, model.unigram_discounts) / max(model.unigram_total, 1)
             total = contexts[:, 0]
-            left = np.where(total > 0, contexts[:, 1:] @ np.array(model.discounts) / np.maximum(total, 1), 1.0)
-            pairs = (ids[inverse[:-1]].astype(np.uint64) << np.uint64(32)) | ids[inverse[1:]].astype(np.uint64)
-            asked, where = np.unique(pairs, return_inverse=True)
-            seen = model.pair_counts(asked)[where] if model.types else np.zeros(len(pairs), np.int64)
+            left = _left(contexts, model.discounts.get(2))
             own, after = inverse[:-1], inverse[1:]
-            chance = _discount(seen, model.discounts) / np.maximum(total[own], 1) + left[own] * lower[after]
+            columns = _history(model, ids[after], int(ids[inverse[0]]), bounds)
+            # the first token of a text follows an end, as every text ends with one
+            chance = lower[after]
+            for n in range(2, model.order + 1) if model.types else ():
+                asked, where = np.unique(_key(columns[-n:]), return_inverse=True)
+                seen = model.find(asked, f"grams{n}", f"counts{n}")[where]
+                if n == 2:
+                    sums, rest = total[own], left[own]
+                else:
+                    asked, where = np.unique(_key(columns[-n:-1]), return_inverse=True)
+                    found = model.find(asked, f"contexts{n}", f"sums{n}")
+                    sums, rest = found[where, 0], _left(found, model.discounts[n])[where]
+                chance = _discount(seen, model.discounts[n]) / np.maximum(sums, 1) + rest * chance
             base = np.log10((counts + 0.1) / (model.tokens + 0.1 * (model.types + 1)))[after]
             sums = [np.add.reduceat(v, bounds[:-1]) for v in (np.log10(chance), base, (counts > 0).astype(np.int64)[after])]
             columns = [pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0])]

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -210,6 +211,38 @@ def test_kneser_ney_sums_to_one(spark, rows):
     assert sum(10 ** r.score for r in alone.values()) < 1
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_against_plain_counts(spark, rows, order):
+    docs = _frame(spark, rows)
+    model = language_model.train(docs, order)
+    split = lambda t: (t or "").encode().lower().split() + [b""]
+    grams = lambda t, n: [tuple(([b""] * (order - 1) + split(t))[i - n + order : i + order]) for i in range(len(split(t)))]
+    counts = {order: collections.Counter(g for _, t in rows for g in grams(t, order))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    words = collections.Counter(w for _, t in rows for w in split(t))
+    discount, after = {}, {n: collections.defaultdict(list) for n in counts}
+    for n in counts:
+        discount[n] = [0, *language_model._discounts([list(counts[n].values()).count(i) for i in (1, 2, 3, 4)])]
+        for g, c in counts[n].items():
+            after[n][g[:-1]].append(c)
+
+    def chance(g):
+        if not g:
+            return 1 / (len(words) + 1)
+        seen, d = after[len(g)][g[:-1]], discount[len(g)]
+        if not seen:
+            return chance(g[1:])
+        c = counts[len(g)][g]
+        return (max(c - d[min(c, 3)], 0) + sum(d[min(x, 3)] for x in seen) * chance(g[1:])) / sum(seen)
+
+    probe = [(i, t) for i, (_, t) in enumerate(rows)] + [(900, "never seen words"), (901, f"new {rows[3][1]} new")]
+    for r in language_model.score(_frame(spark, probe), model).collect():
+        t = dict(probe)[r.doc_id]
+        assert r.score == pytest.approx(sum(math.log10(chance(g)) for g in grams(t, order)))
+        assert r.base_score == pytest.approx(sum(math.log10((words[w] + 0.1) / (sum(words.values()) + 0.1 * (len(words) + 1))) for w in split(t)))
+
+
 def test_language_and_toxicity_on_held_out_rows(spark):
     rng = random.Random(3)
     stock = {"aa": "the of and with this reading".split(), "bb": "der und nicht mit ein straße".split()}
