@@ -34,6 +34,14 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def own_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's shared checkpoint folder."""
     import uuid

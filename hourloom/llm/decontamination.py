@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ascii_lower
+from hourloom.llm.common import ascii_lower, own_name
 from hourloom.session import durable
 
 #: Words of a window.
@@ -89,6 +89,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns."""
-    found = hits(docs, benchmark, window).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    other, hashed = own_name(docs, "_id"), own_name(docs, "_hash")
+    found = hits(docs, benchmark, window).select(F.col("doc_id").alias(other), F.col("text_hash").alias(hashed)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(other)) & (F.xxhash64("text") == F.col(hashed))
     return docs.join(found, same, "left_anti")

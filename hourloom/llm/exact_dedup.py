@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ascii_lower
+from hourloom.llm.common import ascii_lower, own_name
 from hourloom.session import durable
 
 #: Tasks over which the copies of one text are spread, when winners are merged and when they are looked up.
@@ -58,12 +58,13 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     Groups are found on ids and digests; the whole rows move once, to meet the few ids that go.
     """
     groups = exact_groups(docs, salts).where("group_size > 1").groupBy("doc_id", "text_sha256", "kept").count().where("count > 1 OR NOT kept")
-    marks = durable(groups.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), "kept"))
-    marked = docs.withColumn("_here", F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_digest"))
+    other, digest, here = (own_name(docs, c) for c in ("_id", "_digest", "_here"))
+    marks = durable(groups.select(F.col("doc_id").alias(other), F.col("text_sha256").alias(digest), "kept"))
+    marked = docs.withColumn(here, F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(here) == F.col(digest))
     stays = marked.join(marks.hint("shuffle_hash"), same, "left_anti").select(docs.columns)
     repeated = marks.where("kept")
     if repeated.isEmpty():
         return stays
-    one = marked.join(repeated.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "_here"]).select(docs.columns)
+    one = marked.join(repeated.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", here]).select(docs.columns)
     return stays.unionByName(one)

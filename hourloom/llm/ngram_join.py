@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.bytewords import buffers, chain, mix, word_bounds, words
-from hourloom.llm.common import open_array, save_array, shared_folder, slices
+from hourloom.llm.common import open_array, own_name, save_array, shared_folder, slices
 from hourloom.llm.components import components
 from hourloom.session import durable
 
@@ -452,6 +452,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Rows that repeat an id and a text stay together; null ids go if their class has another id.
     """
     goes = near_duplicates(docs, n, percent).where("n_shingles > 0 AND NOT doc_id <=> component_id")
-    goes = durable(goes.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_hash"))
-    return docs.withColumn("_here", F.xxhash64("text")).join(goes.hint("shuffle_hash"), same, "left_anti").select(docs.columns)
+    other, hashed, here = (own_name(docs, c) for c in ("_id", "_hash", "_here"))
+    goes = durable(goes.select(F.col("doc_id").alias(other), F.col("text_hash").alias(hashed)).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(here) == F.col(hashed))
+    return docs.withColumn(here, F.xxhash64("text")).join(goes.hint("shuffle_hash"), same, "left_anti").select(docs.columns)
