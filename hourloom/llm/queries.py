@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import decontamination, exact_dedup, language, language_model, ngram_join, packing, secrets, sharding, suffix_dedup, toxicity
+from hourloom.llm import (
+    decontamination, divergence, exact_dedup, fill_middle, language, language_model, neighbour_forest, ngram_join, packing, secrets, sharding,
+    suffix_dedup, toxicity,
+)
 from hourloom.llm.common import id_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +127,48 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(secrets.span_text("base"), 256).alias("base_sha256"), secrets.span_text("every").alias("spans"),
     )
+
+@_query(f"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i,
+                  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS c, count(DISTINCT i) AS n FROM (SELECT lang, source, i, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(c) AS c FROM counts GROUP BY ALL HAVING sum(n) >= 10),
+languages AS (SELECT lang, count(*) AS v, sum(c) AS total FROM kept GROUP BY lang),
+cells AS (SELECT g.lang, g.source, k.term, CAST(coalesce(counts.c, 0) AS HUGEINT) AS c, k.c AS lang_c, v, l.total AS lang_total
+          FROM groups g JOIN kept k ON k.lang = g.lang JOIN languages l ON l.lang = g.lang
+          LEFT JOIN counts ON counts.lang = g.lang AND counts.source = g.source AND counts.term = k.term),
+shares AS (SELECT lang, source, term, c, 1 + 1000000000 * (c + 2) // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+                  1 + 1000000000 * (lang_c + 2) // (lang_total + 2 * v) AS q FROM cells),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM shares WHERE c > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_forest.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@_query("""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS y,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90
+                  THEN 'plain' WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+parts AS (SELECT *, substr(t, 1, least(x, y)) AS p, substr(t, least(x, y) + 1, abs(x - y)) AS m, substr(t, greatest(x, y) + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(x, y) END AS prefix_chars, CASE WHEN form <> 'plain' THEN abs(x - y) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+         AS output_sha256, sha256(t) AS restored_sha256 FROM parts""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, restored = fill_middle.restore(fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
