@@ -328,6 +328,8 @@ class _Part:
     def __init__(self, leaves: np.ndarray, ids: np.ndarray, none: np.ndarray, values: np.ndarray) -> None:
         self.leaves, self.ids, self.none, self.values = leaves, ids, none, values
         self.squares = (values**2).sum(axis=1)
+        #: Rows whose id another row of the part has too: so many of the nearest may be of ids that are listed already.
+        self.repeats = len(ids) - len(np.unique(ids[~none])) - bool(none.any())
 
     def answer(self, queries: np.ndarray, wanted: list[np.ndarray], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, positions, distances) of the k nearest ids in the leaves that each query visits.
@@ -342,12 +344,15 @@ class _Part:
             inside = np.flatnonzero(np.isin(self.leaves, leaves))
             near = rough[i, inside]
             room = 1e-9 * (sums[i] + (self.squares[inside].max() if len(inside) else 0.0))
-            if len(inside) > k:
-                near_enough = near <= np.partition(near, k - 1)[k - 1] + room if np.isfinite(room) else np.ones(len(near), bool)
+            if len(inside) > (most := k + self.repeats):
+                near_enough = near <= np.partition(near, most - 1)[most - 1] + room if np.isfinite(room) else np.ones(len(near), bool)
                 inside = inside[near_enough]
             with np.errstate(over="ignore"):
                 distances = _compare(self.values[inside], queries[i])
-            best = _nearest(distances, self.ids[inside], self.none[inside], k)
+            best = _nearest(distances, self.ids[inside], self.none[inside], most)
+            if self.repeats:
+                named = np.stack([self.none[inside[best]], self.ids[inside[best]]], axis=1)
+                best = best[np.sort(np.unique(named, axis=0, return_index=True)[1])][:k]
             yield i, inside[best], distances[best]
 
 
