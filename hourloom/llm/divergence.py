@@ -25,7 +25,7 @@ _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Documents in which a language's term must be, and the scale of its share.
 LEAST_DOCUMENTS, SCALE = 10, 1_000_000_000
 #: Distinct terms and bytes of one text that a task holds at a time.
-HELD_TERMS, CHUNK = 300_000, 1 << 20
+HELD_TERMS, CHUNK = 1_000_000, 1 << 20
 #: Terms that are numbered together, and words of bitmaps, over all groups of a language, that are compared together.
 NUMBERED, BLOCK_WORDS = 8192, 16_384
 #: Pairs of words that are compared at a time.
