@@ -179,6 +179,7 @@ def source_divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int =
     counts = stored(term_counts(docs), "term-counts")
     terms = stored(numbered_terms(counts, least), "terms")
     rows = counts.where("term IS NOT NULL").select("lang", "source", "term", "count").join(terms, ["lang", "term"])
+    rows = stored(rows, "kept-counts")  # read three times
     sums = rows.groupBy("lang", "source").agg(F.sum("count").alias("sum"))
     languages = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_sum"))
     groups = counts.where("term IS NULL").select("lang", "source").join(sums, ["lang", "source"], "left").join(languages, "lang", "left")
