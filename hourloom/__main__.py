@@ -16,8 +16,8 @@ def _train(spark: SparkSession, chosen: argparse.Namespace) -> None:
     table, which, model_dir = load(spark, chosen.features), chosen.which, chosen.models
     if which in ("all", "forecast"):
         settings = forecast.ForecastSettings(split=chosen.split, stop_early=chosen.stop_early)
-        models, metrics = forecast.train_forecasters(table, settings=settings)
-        forecast.save_forecasters(models, metrics, model_dir)
+        models, metrics, losses = forecast.train_with_losses(table, settings=settings)
+        forecast.save_forecasters(models, metrics, model_dir, losses)
         forecast.load_metrics(spark, model_dir).show()
     if which in ("all", "anomaly"):
         model, scales, scores, loss = anomaly.train_anomaly(table, anomaly.AnomalySettings(contiguous=chosen.contiguous))
@@ -52,9 +52,9 @@ def main(arguments: list[str] | None = None) -> None:
     train.add_argument("features")
     train.add_argument("models")
     train.add_argument("--split", choices=("random", "time"), default="random", help="hold-out rows of the forecasters")
-    train.add_argument("--stop-early", action="store_true", help="forecasters end at the first round without gain")
+    train.add_argument("--stop-early", action="store_true", help="forecasters end at the first round without gain, not after fifty")
     train.add_argument("--contiguous", action="store_true", help="no anomaly sequence steps over a gap")
-    train.add_argument("--kind", choices=("forest", "boosted"), default="forest", help="the severity classifier")
+    train.add_argument("--kind", choices=("softmax", "forest", "boosted"), default="softmax", help="the severity classifier")
     train.add_argument("--exclude-label-source", action="store_true", help="without the inputs that the label is made of")
     chosen = parser.parse_args(arguments)
 

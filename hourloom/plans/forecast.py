@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from hourloom.functions import schema as S
 from hourloom.operators.metrics import regression_metrics
 from hourloom.operators.sampling import SEED, sample_exact, split_by_key, split_by_time
+from hourloom.plans.boosting import HELD_OUT, AbsoluteLoss, Boosted, BoostSettings, best_rounds, boost, loss_table, restart  # noqa: F401
 from hourloom.plans.training import feature_matrix
 from hourloom.sources.tables import load
 
@@ -51,17 +53,6 @@ def _regressor(target: str, settings: ForecastSettings, validation: str | None =
     return regressor if validation is None else regressor.setValidationIndicatorCol(validation)
 
 
-def best_rounds(losses: list[float], patience: int) -> int:
-    """Rounds up to the least loss, not looking beyond ``patience`` rounds without a better one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
     """The model after its first ``rounds`` rounds."""
     whole = model._java_obj
@@ -71,54 +62,83 @@ def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
     return GBTRegressionModel(whole.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty()))
 
 
-def fit_forecaster(train: DataFrame, held_out: DataFrame, target: str, settings: ForecastSettings) -> GBTRegressionModel:
-    """Boost for all rounds and keep those up to the least hold-out error.
+def boost_settings(settings: ForecastSettings) -> BoostSettings:
+    return BoostSettings(
+        settings.rounds, settings.patience, settings.depth, settings.step, settings.share_of_rows, settings.share_of_columns, settings.seed
+    )
+
+
+def _both(train: DataFrame, held_out: DataFrame) -> DataFrame:
+    return train.withColumn(HELD_OUT, F.lit(False)).unionByName(held_out.withColumn(HELD_OUT, F.lit(True)))
+
+
+def fit_forecaster(
+    train: DataFrame, held_out: DataFrame, target: str, settings: ForecastSettings, start: Boosted | None = None
+) -> tuple[GBTRegressionModel, list[float]]:
+    """The model up to the least hold-out error, and that error after every round fitted.
 
-    With ``stop_early`` boosting itself ends at the first round that does not lower the hold-out error, and
-    ``patience`` does not count.
+    Boosting starts from the mean and steps in units of the target's mean deviation. It ends when ``patience`` rounds did not lower the error; ``start`` goes on from earlier rounds. With ``stop_early``
+    MLlib's own boosting ends at the first round without gain, and tells no errors.
     """
-    if held_out.isEmpty():
-        return _regressor(target, settings).fit(train)
-    if settings.stop_early:
-        both = train.withColumn("__held_out", F.lit(False)).unionByName(held_out.withColumn("__held_out", F.lit(True)))
-        return _regressor(target, settings, "__held_out").fit(both)
-    model = _regressor(target, settings).fit(train)
-    return first_rounds(model, best_rounds(model.evaluateEachIteration(held_out, "absolute"), settings.patience))
+    if settings.stop_early and not held_out.isEmpty():
+        return _regressor(target, settings, HELD_OUT).fit(_both(train, held_out)), []
+    mean = train.agg(F.avg(target)).first()[0]
+    spread = train.agg(F.avg(F.abs(F.col(target) - mean))).first()[0]
+    boosted = boost(_both(train, held_out), target, AbsoluteLoss(spread or 1.0, 0), boost_settings(settings), start)
+    return boosted.models()[0], boosted.losses
 
 
-def train_forecasters(
+def _split(features: DataFrame, target: str, settings: ForecastSettings, inputs: Iterable[str] | None) -> tuple[DataFrame, DataFrame]:
+    rows = feature_matrix(features, inputs or S.forecast_features(), [target]).where(F.col(target).isNotNull())
+    if settings.split == "time":
+        return split_by_time(rows, settings.holdout)
+    return split_by_key(rows, settings.holdout, score=F.expr(settings.score) if settings.score else None)
+
+
+def train_with_losses(
     features: DataFrame,
     targets: Iterable[tuple[str, int]] = tuple(TARGETS),
     settings: ForecastSettings = ForecastSettings(),
     inputs: Iterable[str] | None = None,
-) -> tuple[dict[tuple[str, int], GBTRegressionModel], DataFrame]:
-    """Models by (source, horizon), and ``(source, horizon, n, mae, rmse, r2)`` on the hold-out rows.
+    start: dict[tuple[str, int], Boosted] | None = None,
+) -> tuple[dict[tuple[str, int], GBTRegressionModel], DataFrame, DataFrame]:
+    """Models by (source, horizon), ``(source, horizon, n, mae, rmse, r2)`` on the hold-out rows, and
+    ``(source, horizon, round, loss)`` of all rounds.
 
-    ``features`` should be a stored table: each model reads its inputs and its own target, several times.
+    ``features`` should be a stored table: each model reads its inputs and its own target, several times. The models are
+    fitted side by side, since each waits for many small jobs. ``start`` holds states to go on from.
     """
+    spark = features.sparkSession
+    inputs = list(inputs) if inputs else None
     targets = [(s, h) for s, h in targets if S.lead_name(s, h) in features.columns]
-    names = [S.lead_name(s, h) for s, h in targets]
-    models, measured = {}, []
-    for (source, hours), target in zip(targets, names):
-        rows = feature_matrix(features, inputs or S.forecast_features(), [target]).where(F.col(target).isNotNull())
-        if settings.split == "time":
-            train, held_out = split_by_time(rows, settings.holdout)
-        else:
-            score = F.expr(settings.score) if settings.score else None
-            train, held_out = split_by_key(rows, settings.holdout, score=score)
+
+    def fit(key: tuple[str, int]):
+        target = S.lead_name(*key)
+        train, held_out = _split(features, target, settings, inputs)
         if train.isEmpty():
-            continue
-        model = fit_forecaster(train, held_out, target, settings)
-        models[source, hours] = model
-        scored = regression_metrics(model.transform(held_out), target, "prediction")
-        measured.append(scored.select(F.lit(source).alias("source"), F.lit(f"{hours}h").alias("horizon"), "*"))
-    if not measured:
-        empty = "source string, horizon string, n bigint, mae double, rmse double, r2 double"
-        return models, features.sparkSession.createDataFrame([], empty)
-    metrics = measured[0]
-    for more in measured[1:]:
-        metrics = metrics.unionByName(more)
-    return models, metrics
+            return None
+        model, losses = fit_forecaster(train, held_out, target, settings, (start or {}).get(key))
+        named = F.lit(key[0]).alias("source"), F.lit(f"{key[1]}h").alias("horizon")
+        scored = regression_metrics(model.transform(held_out), target, "prediction").select(*named, "*")
+        return model, scored, loss_table(spark, losses).select(*named, "*")
+
+    with ThreadPoolExecutor(max(len(targets), 1)) as pool:
+        fitted = {key: found for key, found in zip(targets, pool.map(fit, targets)) if found is not None}
+    metrics = spark.createDataFrame([], "source string, horizon string, n bigint, mae double, rmse double, r2 double")
+    losses = spark.createDataFrame([], "source string, horizon string, round int, loss double")
+    for _, scored, told in fitted.values():
+        metrics, losses = metrics.unionByName(scored), losses.unionByName(told)
+    return {key: found[0] for key, found in fitted.items()}, metrics, losses
+
+
+def train_forecasters(
+    features: DataFrame,
+    targets: Iterable[tuple[str, int]] = tuple(TARGETS),
+    settings: ForecastSettings = ForecastSettings(),
+    inputs: Iterable[str] | None = None,
+) -> tuple[dict[tuple[str, int], GBTRegressionModel], DataFrame]:
+    """Models and metrics of :func:`train_with_losses`."""
+    return train_with_losses(features, targets, settings, inputs)[:2]
 
 
 def predict(model: GBTRegressionModel, features: DataFrame, target: str, inputs: Iterable[str] | None = None) -> DataFrame:
@@ -141,10 +161,15 @@ def compare_on_sample(
     return picked.select("ba", "ts_unix", F.col(target).alias("actual"), "prediction")
 
 
-def save_forecasters(models: dict[tuple[str, int], GBTRegressionModel], metrics: DataFrame, directory: str) -> None:
+def save_forecasters(
+    models: dict[tuple[str, int], GBTRegressionModel], metrics: DataFrame, directory: str, losses: DataFrame | None = None
+) -> None:
+    """Models, their metrics, and the losses of their rounds if given."""
     for (source, hours), model in models.items():
         model.write().overwrite().save(f"{directory}/forecast_{source}_{hours}h")
     metrics.coalesce(1).write.mode("overwrite").parquet(f"{directory}/forecast_metrics")
+    if losses is not None:
+        losses.coalesce(1).write.mode("overwrite").parquet(f"{directory}/forecast_losses")
 
 
 def load_forecaster(directory: str, source: str, hours: int) -> GBTRegressionModel:
@@ -153,3 +178,13 @@ def load_forecaster(directory: str, source: str, hours: int) -> GBTRegressionMod
 
 def load_metrics(spark: SparkSession, directory: str) -> DataFrame:
     return load(spark, f"{directory}/forecast_metrics")
+
+
+def load_losses(spark: SparkSession, directory: str) -> DataFrame:
+    return load(spark, f"{directory}/forecast_losses")
+
+
+def restart_forecaster(spark: SparkSession, directory: str, source: str, hours: int, patience: int) -> Boosted:
+    """The state of a stored forecaster with its losses, as a ``start`` for more rounds."""
+    told = load_losses(spark, directory).where((F.col("source") == source) & (F.col("horizon") == f"{hours}h")).orderBy("round")
+    return restart([load_forecaster(directory, source, hours)], patience, [r["loss"] for r in told.toLocalIterator()])

@@ -1,4 +1,4 @@
-"""Queries of the model plans.  Fewer rounds and trees than the defaults.
+"""Queries of the model plans, at the library's defaults.
 
 Numbers that depend on the fit are checked by their bounds; an arithmetic score decides the splits, so that SQL knows
 the rows.
@@ -20,8 +20,8 @@ from hourloom.queries.grids import EVENT_SQL, FRACTION, SCORE, event_grid, event
 from hourloom.queries.registry import query
 from hourloom.session import stored
 
-_FORECAST = ForecastSettings(rounds=5, patience=2, depth=3, step=0.3, score=FRACTION)
-_SEVERITY = SeveritySettings(trees=10, depth=6, score=SCORE)
+_FORECAST = ForecastSettings(score=FRACTION)
+_SEVERITY = SeveritySettings(score=SCORE)
 _ANOMALY = AnomalySettings(score=FRACTION)
 
 
