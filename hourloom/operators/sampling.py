@@ -47,11 +47,18 @@ def sample_exact(
     return scored.where(F.col("__score") <= last.select("__score").scalar()).orderBy("__score", *keys).limit(n).drop("__score")
 
 
+def held_out_column(
+    holdout: float, keys: Iterable[str] = ("ba", "ts_unix"), seed: int = SEED, score: Column | None = None
+) -> Column:
+    """Whether :func:`split_by_key` holds a row out."""
+    return _below(holdout, seed, keys, score)
+
+
 def split_by_key(
     df: DataFrame, holdout: float, keys: Iterable[str] = ("ba", "ts_unix"), seed: int = SEED, score: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Training and hold-out rows; about ``holdout`` of the rows are held out."""
-    held = _below(holdout, seed, keys, score)
+    held = held_out_column(holdout, keys, seed, score)
     return df.where(~held), df.where(held)
 
 

@@ -9,16 +9,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
 from hourloom.operators.cleaning import complete_cases
 from hourloom.operators.reports import normal_hours, score_range
-from hourloom.operators.sampling import SEED, split_by_key
+from hourloom.operators.sampling import SEED, held_out_column
+from hourloom.operators.sliding import projection_errors, window_moments
 from hourloom.operators.windows import sequences
 from hourloom.sources.tables import write_scores
 
@@ -59,15 +63,43 @@ def _vectors(rows: DataFrame, settings: AnomalySettings) -> DataFrame:
     return built.select("ba", "ts_unix", array_to_vector("sequence").alias("sequence"))
 
 
-def fit_reconstruction(train: DataFrame, settings: AnomalySettings) -> PipelineModel:
+def _stages(settings: AnomalySettings) -> tuple[StandardScaler, PCA]:
     """Centre, then project; the projection itself does not centre."""
     width = settings.length * len(S.SEQUENCE_SIGNALS)
-    return Pipeline(
-        stages=[
-            StandardScaler(inputCol="sequence", outputCol="centred", withMean=True, withStd=False),
-            PCA(k=min(settings.components, width), inputCol="centred", outputCol="projected"),
-        ]
-    ).fit(train)
+    return (
+        StandardScaler(inputCol="sequence", outputCol="centred", withMean=True, withStd=False),
+        PCA(k=min(settings.components, width), inputCol="centred", outputCol="projected"),
+    )
+
+
+def fit_reconstruction(train: DataFrame, settings: AnomalySettings) -> PipelineModel:
+    """The model of sequences that are written out as vectors."""
+    return Pipeline(stages=list(_stages(settings))).fit(train)
+
+
+def reconstruction_of(spark: SparkSession, mean: np.ndarray, covariance: np.ndarray, settings: AnomalySettings) -> PipelineModel:
+    """The same model from the sequences' mean and covariance."""
+    centre, project = _stages(settings)
+    values, vectors = np.linalg.eigh(covariance)
+    k, total = project.getK(), max(float(values.clip(0).sum()), 1e-300)
+    components = DenseMatrix(len(mean), k, vectors[:, ::-1][:, :k].ravel(order="F").tolist())
+    feature, empty = spark._jvm.org.apache.spark.ml.feature, spark._jvm.org.apache.spark.ml.param.ParamMap.empty()
+    java = [
+        _py2java(spark.sparkContext, value)
+        for value in (Vectors.dense(np.ones(len(mean))), Vectors.dense(mean), components, Vectors.dense(values[::-1][:k].clip(0) / total))
+    ]
+    for stage in (centre, project):
+        stage._transfer_params_to_java()
+    scaler = centre._java_obj.copyValues(feature.StandardScalerModel(centre.uid, java[0], java[1]), empty)
+    pca = project._java_obj.copyValues(feature.PCAModel(project.uid, java[2], java[3]), empty)
+    return PipelineModel([StandardScalerModel(scaler), PCAModel(pca)])
+
+
+def sequence_scores(model: PipelineModel, rows: DataFrame, settings: AnomalySettings) -> DataFrame:
+    """``(ba, ts_unix, anomaly_score)`` of every sequence of ``rows`` (standardised signals), without writing the sequences out."""
+    mean, components = model.stages[0].mean.toArray(), model.stages[1].pc.toArray()
+    errors = projection_errors(rows, S.SEQUENCE_SIGNALS, settings.length, mean, components, settings.contiguous)
+    return errors.select("ba", "ts_unix", F.col("error").alias("anomaly_score"))
 
 
 def _energy(vector: str) -> Column:
@@ -94,15 +126,14 @@ def train_anomaly(
     panel = complete_cases(features.select("ba", "ts_unix", "mismatch_label", *S.SEQUENCE_SIGNALS), S.SEQUENCE_SIGNALS)
     scales = signal_scales(normal_hours(panel))
     scaled = standardise(panel, scales)
-    score = F.expr(settings.score) if settings.score else None
-    built = _vectors(normal_hours(scaled), settings)
-    train, held_out = split_by_key(built, settings.holdout, seed=settings.seed, score=score)
-    spark = features.sparkSession
-    if train.limit(2).count() < 2:
+    held_out = held_out_column(settings.holdout, seed=settings.seed, score=F.expr(settings.score) if settings.score else None)
+    normal, spark = normal_hours(scaled), features.sparkSession
+    n, mean, covariance = window_moments(normal, S.SEQUENCE_SIGNALS, settings.length, ~held_out, settings.contiguous)
+    if n < 2:
         return None, scales, spark.createDataFrame([], SCORES_SCHEMA), spark.createDataFrame([], "loss double")
-    model = fit_reconstruction(train, settings)
-    scores = reconstruction_error(model, _vectors(scaled, settings), settings)
-    loss = reconstruction_error(model, held_out, settings).agg(F.avg("anomaly_score").alias("loss"))
+    model = reconstruction_of(spark, mean, covariance, settings)
+    scores = sequence_scores(model, scaled, settings)
+    loss = sequence_scores(model, normal, settings).where(held_out).agg(F.avg("anomaly_score").alias("loss"))
     return model, scales, scores, loss
 
 
