@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from hourloom.plans import anomaly, features, forecast, severity
+from hourloom.plans import anomaly, features, forecast, incremental, severity
 from hourloom.session import configure
 from hourloom.sources.raw import audit_totals, coverage_audit
 from hourloom.sources.tables import load
@@ -47,6 +47,11 @@ def main(arguments: list[str] | None = None) -> None:
     build.add_argument("--fraction", type=float, default=1.0)
     build.add_argument("--sample", choices=("entities", "rows"), default="entities")
     build.add_argument("--lag-mode", choices=("row", "time"), default="row")
+    update = commands.add_parser("update", help="panel and features of the raw files that changed")
+    update.add_argument("raw")
+    update.add_argument("panel")
+    update.add_argument("features")
+    update.add_argument("--lag-mode", choices=("row", "time"), default="row")
     train = commands.add_parser("train", help="fit and save models")
     train.add_argument("which", choices=("forecast", "anomaly", "severity", "all"))
     train.add_argument("features")
@@ -67,6 +72,8 @@ def main(arguments: list[str] | None = None) -> None:
         table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample, chosen.lag_mode)
         table.printSchema()
         table.select("ba", "ts_utc", "solar_mw", "wind_mw", "demand_mw", "mismatch_label").show(3, truncate=False)
+    elif chosen.command == "update":
+        incremental.update_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.lag_mode).orderBy("file_name").show(truncate=False)
     else:
         _train(spark, chosen)
 

@@ -18,7 +18,7 @@ def _over(frame: str = "") -> str:
     return f"OVER ({IN_BLOCK} {frame})"
 
 
-_HISTORY = "__history"
+_HISTORY, _MOMENTS = "__history", "__moments"
 
 
 def history_column(signals: Iterable[str] = S.HISTORY_SIGNALS, rows: int = max(S.LAG_HOURS)) -> str:
@@ -35,13 +35,21 @@ def lag_columns(signals: Iterable[str] = S.HISTORY_SIGNALS, hours: Iterable[int]
     return [f"try_element_at({_HISTORY}, -{h}).{s}_mw AS {S.lag_name(s, h)}" for h in hours for s in signals]
 
 
+def time_history_columns(signals: Iterable[str] = S.HISTORY_SIGNALS, hours: int = max(S.LAG_HOURS)) -> list[str]:
+    """Times and values of the rows of the last hours, the current one left out, oldest first: two lists over one frame."""
+    values = ", ".join(f"{s}_mw" for s in signals)
+    recent = _over(f"RANGE BETWEEN {hours * HOUR} PRECEDING AND {HOUR} PRECEDING")
+    return [f"collect_list({TIME}) {recent} AS {_MOMENTS}", f"collect_list(struct({values})) {recent} AS {_HISTORY}"]
+
+
 def time_lag_columns(signals: Iterable[str] = S.HISTORY_SIGNALS, hours: Iterable[int] = S.LAG_HOURS) -> list[str]:
-    """Past values by time: of the row exactly so many hours earlier, or null."""
-    columns = []
-    for h in hours:
-        moment = _over(f"RANGE BETWEEN {h * HOUR} PRECEDING AND {h * HOUR} PRECEDING")
-        columns += [f"max({s}_mw) {moment} AS {S.lag_name(s, h)}" for s in signals]
-    return columns
+    """Past values by time: of the row exactly so many hours earlier, found by its time in the history, or null."""
+    place = "CAST(nullif(array_position({m}, {t} - {seconds}), 0) AS INT)"
+    return [
+        f"try_element_at({_HISTORY}, {place.format(m=_MOMENTS, t=TIME, seconds=h * HOUR)}).{s}_mw AS {S.lag_name(s, h)}"
+        for h in hours
+        for s in signals
+    ]
 
 
 def rolling_columns(signals: Iterable[str] = S.HISTORY_SIGNALS, windows: dict[str, int] = S.ROLLING_HOURS) -> list[str]:
@@ -64,7 +72,8 @@ def add_lags(panel: DataFrame, mode: str = "row", block_days: int = BLOCK_DAYS)
     """All lags; ``row`` counts rows back, ``time`` hours."""
     reach = max(S.LAG_HOURS)
     if mode == "time":
-        return over_series(panel, time_lag_columns(), back_seconds=reach * HOUR, block_days=block_days)
+        windowed = over_series(panel, time_history_columns(), back_seconds=reach * HOUR, block_days=block_days)
+        return windowed.selectExpr(*panel.columns, *time_lag_columns())
     if mode == "row":
         windowed = over_series(panel, [history_column()], back_rows=reach, block_days=block_days)
         return windowed.selectExpr(*panel.columns, *lag_columns())
@@ -89,13 +98,13 @@ def feature_table(panel: DataFrame, lag_mode: str = "row", block_days: int = BLO
     panel = panel.drop(*S.LAG_COLUMNS, *S.ROLLING_COLUMNS, *S.LEAD_COLUMNS, *S.MISMATCH_COLUMNS)
     windowed = over_series(
         panel,
-        [*([history_column()] if by_row else time_lag_columns()), *rolling_columns(), *lead_columns()],
+        [*([history_column()] if by_row else time_history_columns()), *rolling_columns(), *lead_columns()],
         back_rows=max(S.LAG_HOURS) if by_row else 0,
         ahead_rows=max(S.LEAD_HOURS),
         back_seconds=(max(S.ROLLING_HOURS.values()) - 1) * HOUR,
         block_days=block_days,
     )
-    lags = lag_columns() if by_row else S.LAG_COLUMNS
+    lags = lag_columns() if by_row else time_lag_columns()
     return add_labels(windowed.selectExpr(*panel.columns, *lags, *S.ROLLING_COLUMNS, *S.LEAD_COLUMNS)).select(
         *panel.columns, *S.LAG_COLUMNS, *S.ROLLING_COLUMNS, *S.MISMATCH_COLUMNS, *S.LEAD_COLUMNS
     )

@@ -22,6 +22,7 @@ from hourloom.session import stored
 
 _FORECAST = ForecastSettings(score=FRACTION)
 _SEVERITY = SeveritySettings(score=SCORE)
+_FOREST = SeveritySettings(kind="forest", score=SCORE)
 _ANOMALY = AnomalySettings(score=FRACTION)
 
 
@@ -101,7 +102,7 @@ WHERE EXISTS (SELECT * FROM complete WHERE NOT held)"""
 )
 def severity_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top 20 by position: how many inputs there are, whether all sum to 1, whether the order falls."""
-    model, inputs, _ = train_severity(_features(spark, sf_dir), _SEVERITY)
+    model, inputs, _ = train_severity(_features(spark, sf_dir), _FOREST)
     if model is None:
         return spark.createDataFrame([], "position int, inputs int, sums_to_one boolean, ordered boolean")
     total = importances(spark, model, inputs).agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("whole")).select("whole").scalar()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,23 +72,47 @@ def _csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("header", True).csv(paths)
 
 
-def read_raw_files(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> list[DataFrame]:
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line with text of a part of a file, if the part begins the file; what follows is not read."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if batch.column("start")[0].as_py():
+            return
+        for i, line in enumerate(batch.column("value").to_pylist()):
+            if line.strip():
+                yield batch.slice(i, 1).select(["path", "value"])
+                return
+
+
+def layouts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """``(header, paths)``: the files by their first line, in one scan whatever their number; files without a line are left out.
+
+    Every part of a file is a task of its own, which stops after its first lines, so the files themselves are not read. That needs a
+    setting of the scan, made in a session beside the given one.
+    """
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.files.openCostInBytes", beside.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = beside.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    headers = lines.mapInArrow(_first_line, "path string, value string")
+    return headers.groupBy(F.col("value").alias("header")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+
+def read_raw_files(spark: SparkSession, paths: Iterable[str]) -> list[DataFrame]:
     """One frame of canonical text columns per distinct header, with the ``source_file``.
 
     A CSV reader given files with different headers applies one header to all of them.  So
-    headers are read first, a few files at a time, and files with the same header share one scan; the
-    plan grows with the number of layouts and not with the number of files.
+    headers are read first, all in one job, and files with the same header share one scan; plan and jobs
+    grow with the number of layouts and not with the number of files.
     """
     paths = list(paths)
     if not paths:
         raise FileNotFoundError("no raw files to read")
-    with ThreadPoolExecutor(threads) as pool:
-        headers = list(pool.map(lambda p: tuple(_csv(spark, [p]).columns), paths))
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        layouts.setdefault(header, []).append(path)
+    groups = [[unquote(path) for path in row["paths"]] for row in layouts(spark, paths).orderBy("header").toLocalIterator()]
     frames = []
-    for group in layouts.values():
+    for group in groups or [paths]:
         named = _csv(spark, group).withColumn("source_file", F.col("_metadata.file_name"))
         frames.append(normalise_columns(named))
     return frames
