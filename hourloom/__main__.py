@@ -47,6 +47,7 @@ def main(arguments: list[str] | None = None) -> None:
     build.add_argument("--fraction", type=float, default=1.0)
     build.add_argument("--sample", choices=("entities", "rows"), default="entities")
     build.add_argument("--lag-mode", choices=("row", "time"), default="row")
+    build.add_argument("--layout", choices=("partitioned", "clustered"), default="partitioned", help="of the feature table; clustered for very many series")
     update = commands.add_parser("update", help="panel and features of the raw files that changed")
     update.add_argument("raw")
     update.add_argument("panel")
@@ -69,7 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
         found.orderBy("file_name").show(found.count(), truncate=False)
         audit_totals(found).show()
     elif chosen.command == "features":
-        table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample, chosen.lag_mode)
+        table = features.build_features(spark, chosen.raw, chosen.panel, chosen.features, chosen.fraction, chosen.sample, chosen.lag_mode, chosen.layout)
         table.printSchema()
         table.select("ba", "ts_utc", "solar_mw", "wind_mw", "demand_mw", "mismatch_label").show(3, truncate=False)
     elif chosen.command == "update":

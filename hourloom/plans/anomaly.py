@@ -22,6 +22,7 @@ from hourloom.functions import schema as S
 from hourloom.operators.cleaning import complete_cases
 from hourloom.operators.reports import normal_hours, score_range
 from hourloom.operators.sampling import SEED, held_out_column
+from hourloom.operators.sketches import score_sketches, sketched_range
 from hourloom.operators.sliding import projection_errors, window_moments
 from hourloom.operators.windows import sequences
 from hourloom.sources.tables import write_scores
@@ -149,6 +150,21 @@ def save_anomaly(
         loss.coalesce(1).write.mode("overwrite").parquet(f"{directory}/anomaly_loss")
     stored = spark.read.parquet(f"{directory}/anomaly_scores")
     score_range(stored).write.mode("overwrite").parquet(f"{directory}/anomaly_threshold")
+    score_sketches(stored).write.mode("overwrite").parquet(f"{directory}/anomaly_sketches")
+
+
+def sketched_threshold(
+    spark: SparkSession, directory: str, entities: Iterable[str] = (), first_year: int | None = None, last_year: int | None = None, share: float = 0.99
+) -> DataFrame:
+    """``(n, low, high, threshold)`` of some series and years, from the stored sketches alone; all of them by default."""
+    sketches, entities = spark.read.parquet(f"{directory}/anomaly_sketches"), list(entities)
+    if entities:
+        sketches = sketches.where(F.col("ba").isin(entities))
+    if first_year is not None:
+        sketches = sketches.where(F.col("year") >= first_year)
+    if last_year is not None:
+        sketches = sketches.where(F.col("year") <= last_year)
+    return sketched_range(sketches, share)
 
 
 def load_anomaly(spark: SparkSession, directory: str) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from hourloom.operators.sampling import sample_entities, sample_rows
 from hourloom.operators.windows import feature_table
 from hourloom.session import configure
 from hourloom.sources.raw import read_raw
-from hourloom.sources.tables import load, write_clustered, write_partitioned
+from hourloom.sources.tables import load, write_layout, write_partitioned
 
 
 def sampled(panel: DataFrame, fraction: float, mode: str = "entities") -> DataFrame:
@@ -31,15 +31,16 @@ def build_features(
     fraction: float = 1.0,
     mode: str = "entities",
     lag_mode: str = "row",
+    layout: str = "partitioned",
 ) -> DataFrame:
     """Clean the raw files into a panel table, then compute the feature table from it.
 
     The panel is stored first: text is parsed and deduplicated once, and the window stage
-    reads only the columns it needs.  How many texts could not be read goes to ``panel_path`` + ``-rejects``.
+    reads only the columns it needs.  ``layout`` is that of the feature table.  How many texts could not be read goes to ``panel_path`` + ``-rejects``.
     """
     configure(spark)
     text = read_raw(spark, raw_dir)
     reject_counts(text).write.mode("overwrite").parquet(f"{panel_path}-rejects")
     write_partitioned(clean_panel(text), panel_path)
-    write_clustered(feature_table(sampled(load(spark, panel_path), fraction, mode), lag_mode), feature_path)
+    write_layout(feature_table(sampled(load(spark, panel_path), fraction, mode), lag_mode), feature_path, layout)
     return load(spark, feature_path)

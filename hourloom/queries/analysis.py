@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
-from hourloom.operators import metrics, reports
+from hourloom.operators import metrics, reports, sketches
 from hourloom.operators.cleaning import complete_cases
 from hourloom.operators.neighbours import IN_BLOCK, over_series
 from hourloom.operators.quantiles import approximate_quantiles, exact_quantiles
@@ -394,6 +394,29 @@ def approximate_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select(F.lit(0.99).alias("probability"), "n", within.alias("within_bound"))
 
 
+@query(
+    SHIPMENT_SQL
+    + """, scored AS (SELECT ba, year, abs(net_gen_mw) AS score FROM panel WHERE net_gen_mw IS NOT NULL)
+SELECT ba, count(*) AS n, min(score) AS low, max(score) AS high, true AS within_bound FROM scored GROUP BY ba
+UNION ALL SELECT 'last years', count(*), min(score), max(score), true FROM scored WHERE year >= (SELECT max(year) - 1 FROM scored)"""
+)
+def sketched_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds of every series, and of all series in the last two years, from merged sketches by series and year: numbers, least and
+    greatest are exact, and the threshold's rank lies within the stated bound."""
+    scores = durable(shipment_grid(spark, sf_dir).select("ba", "ts_unix", "year", F.abs("net_gen_mw").alias("anomaly_score")))
+    stored = durable(sketches.score_sketches(scores))
+    last = F.col("year") >= scores.agg(F.max("year") - 1).scalar()
+    whole = sketches.sketched_range(stored.where(last)).select(F.lit("last years").alias("ba"), "*")
+    every = sketches.sketched_range(stored, by=["ba"]).unionByName(whole)
+    groups = scores.select("ba", "anomaly_score").unionByName(scores.where(last).select(F.lit("last years").alias("ba"), "anomaly_score"))
+    ranks = groups.join(every, "ba").groupBy("ba", "n", "low", "high").agg(
+        F.count_if(F.col("anomaly_score") < F.col("threshold")).alias("below"), F.count_if(F.col("anomaly_score") <= F.col("threshold")).alias("upto")
+    )
+    room = sketches.rank_error() * F.col("n") + 1
+    within = (F.col("below") <= 0.99 * F.col("n") + room) & (F.col("upto") >= 0.99 * F.col("n") - room)
+    return ranks.select("ba", "n", "low", "high", within.alias("within_bound"))
+
+
 @query(
     EVENT_SQL
     + _SCORES_SQL

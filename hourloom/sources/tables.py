@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,43 @@ def write_clustered(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("year", "ba").parquet(path)
 
 
+#: Bits of series and of time in the interleaved key, and bytes of a row group.
+_KEY_BITS, _ROW_GROUP = 12, 16 << 20
+
+
+def interleaved_key(series: str = "ba", time: str = "ts_unix") -> Column:
+    """Bits of the series' hash and of the day in its year in turns: rows of near keys share both series and days."""
+    days = F.expr(f"CAST(pmod(floor({time} / 86400), {1 << _KEY_BITS}) AS BIGINT)")
+    names = F.pmod(F.xxhash64(series), F.lit(1 << _KEY_BITS))
+    key = F.lit(0).cast("long")
+    for bit in range(_KEY_BITS):
+        for offset, part in ((1, names), (0, days)):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(part, bit).bitwiseAND(F.lit(1)), 2 * bit + offset))
+    return key
+
+
+def write_interleaved(df: DataFrame, path: str, row_group_bytes: int = _ROW_GROUP) -> None:
+    """Overwrite ``path`` with files by year alone, for very many series: directories do not grow with them.
+
+    Rows are ranged by year and an interleaved key of series and time, so a row group holds few series and a short stretch. The least
+    and greatest times tell which row groups a time range needs, and Bloom filters which ones hold a series.
+    """
+    key = "__key"
+    ranged = df.withColumn(key, interleaved_key()).repartitionByRange("year", key).sortWithinPartitions("year", key, "ba", "ts_unix").drop(key)
+    options = {"parquet.bloom.filter.enabled#ba": "true", "parquet.block.size": str(row_group_bytes)}
+    ranged.write.mode("overwrite").options(**options).partitionBy("year").parquet(path)
+
+
+def write_layout(df: DataFrame, path: str, layout: str = "partitioned") -> None:
+    """``partitioned``: directories by year and series; ``clustered``: by year, clustered by series and time."""
+    if layout == "partitioned":
+        write_clustered(df, path)
+    elif layout == "clustered":
+        write_interleaved(df, path)
+    else:
+        raise ValueError(f"layout must be 'partitioned' or 'clustered', got {layout!r}")
+
+
 def write_scores(scores: DataFrame, path: str) -> None:
     """``(ba, ts_unix, anomaly_score)`` without null scores."""
     kept = scores.where(F.col("anomaly_score").isNotNull())
