@@ -20,8 +20,8 @@ def tables():
 def few_rounds(monkeypatch):
     """The rows of model queries do not depend on the rounds; ``python tests/compare.py`` runs them at their defaults."""
     monkeypatch.setattr(models, "_FORECAST", replace(models._FORECAST, rounds=2))
-    monkeypatch.setattr(models, "_SEVERITY", replace(models._SEVERITY, trees=2))
-    monkeypatch.setattr(models, "_FOREST", replace(models._FOREST, trees=10))
+    monkeypatch.setattr(models, "_SEVERITY", replace(models._SEVERITY, trees=10))
+    monkeypatch.setattr(models, "_SOFTMAX", replace(models._SOFTMAX, trees=2))
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
