@@ -21,7 +21,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 _IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9_])(client_?id|user_?name|account_?id|access_?key_?id|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", re.I | re.A)
 _IDENTIFIER_HINT = re.compile(r"client|user_?name|account|access|login", re.I | re.A)
-_ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]*://[^\s\"'<>]{4,}", re.A)
+_SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
+_ADDRESS = re.compile(r"[^\s\"'<>]{4,}", re.A)
 _BREAK = re.compile(r"\n[ \t\r]*\n")
 
 #: Order of kinds that start at one place.
@@ -49,6 +50,27 @@ def base_spans(text: str, runs: list[re.Match] | None = None) -> list[tuple[int,
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _endpoints(text: str) -> Iterator[tuple[int, int]]:
+    """Scheme, ``://`` and at least four characters of an address, leftmost and without overlap.
+
+    Each ``://`` is found first and its scheme walked back, from the first small letter of the run before it: every character is
+    passed once, however long the run.
+    """
+    free = 0
+    at = text.find("://")
+    while at >= 0:
+        low = at
+        while low > free and text[low - 1] in _SCHEME:
+            low -= 1
+        while low < at and not "a" <= text[low] <= "z":
+            low += 1
+        address = _ADDRESS.match(text, at + 3) if low < at else None
+        if address:
+            free = address.end()
+            yield low, free
+        at = text.find("://", free if address else at + 1)
+
+
 def _weak_parts(text: str, runs: list[re.Match]) -> list[tuple[int, int, str]]:
     found = []
     if _IDENTIFIER_HINT.search(text):
@@ -57,8 +79,7 @@ def _weak_parts(text: str, runs: list[re.Match]) -> list[tuple[int, int, str]]:
         run = m[0]
         if len(run) >= 32 and re.search("[A-Z]", run) and re.search("[a-z]", run) and re.search("[0-9]", run) and "//" not in run:
             found.append((m.start(), m.end(), "secret"))
-    if "://" in text:
-        found += [(m.start(), m.end(), "endpoint") for m in _ENDPOINT.finditer(text)]
+    found += [(start, end, "endpoint") for start, end in _endpoints(text)]
     return found
 
 
