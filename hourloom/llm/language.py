@@ -17,13 +17,18 @@ from hourloom.session import BROADCAST_ROWS, durable
 
 #: Most labelled documents of one language that a fit reads, and the bytes that all languages share.
 SAMPLE, SAMPLE_BYTES = 400, 16_000_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # with numerals such as fractions, which are no letters
 _BUCKETS_BITS = 16
 _GRAMS = (1, 2, 3, 4)
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode category L is there."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 @dataclass
 class LanguageModel:
     """``weights`` is the product of the subword embeddings and the softmax matrix: one row of logits a bucket."""
@@ -126,7 +131,7 @@ def _predict(model: LanguageModel):
                 for k, column in enumerate(columns):
                     running = np.concatenate([[0.0], np.cumsum(column[hashed], dtype=np.float64)])
                     sums[:, k] += running[bounds[1:]] - running[bounds[:-1]]
-            letters = np.array([t is not None and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+            letters = np.array([t is not None and has_letter(t) for t in texts.to_pylist()], bool)
             known = letters if model.languages else np.zeros(n, bool)
             lang, sure = np.full(n, "und", object), np.zeros(n)
             if known.any():
