@@ -18,6 +18,8 @@ from hourloom.session import durable
 PASSAGE, ANCHOR = 400, 32
 #: Bytes of the stretches of one shard.
 SHARD_BYTES = 1_500_000
+#: Ranges of prints in which the shards of one anchor are merged, for each of its shards.
+RANGES = 8
 _PIECE = 1 << 23
 _VALUES = np.random.default_rng(77).integers(1, 1 << 63, 256).astype(np.uint64)
 _COLUMNS = ("anchor", "stretch", "key1", "key2", "start", "end")
@@ -60,6 +62,19 @@ def stretches(raw: np.ndarray, passage: int, anchor: int) -> tuple[np.ndarray, n
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def _union(key1: np.ndarray, key2: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """The same bytes in as few intervals as cover them: those of one text that touch or overlap are one."""
+    if not len(start):
+        return [key1, key2, start, end]
+    order = np.lexsort((start, key2, key1))
+    key1, key2, start, end = (c[order] for c in (key1, key2, start, end))
+    fresh = np.concatenate([[True], (key1[1:] != key1[:-1]) | (key2[1:] != key2[:-1])])
+    lift = np.cumsum(fresh) * (int(end.max()) + 1)  # a running maximum then never reaches into the next text
+    reach = np.maximum.accumulate(end + lift)
+    heads = np.flatnonzero(fresh | np.concatenate([[True], (start + lift)[1:] > reach[:-1]]))
+    return [key1[heads], key2[heads], start[heads], reach[np.append(heads[1:], len(start)) - 1] - lift[heads]]
+
+
 def _sort_rows(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Rows in order of anchor and stretch; heads of equal pairs, and sizes."""
     order = np.lexsort((columns[1], columns[0]))
@@ -82,7 +97,7 @@ def _deal(passage: int, anchor: int, bits: int):
         bucket = (sent[0] >> np.uint64(64 - bits)).astype(np.int64)
         edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         rows: list[list] = [[] for _ in names]
-        marks = [c[marked] for c in columns[2:]]
+        marks = _union(*(c[marked] for c in columns[2:]))
         shares = np.linspace(0, len(marks[0]), (1 << bits) + 1).astype(np.int64)
         for b in range(1 << bits):
             own, share = slice(edges[b], edges[b + 1]), slice(shares[b], shares[b + 1])
@@ -117,7 +132,9 @@ def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
 def _settle(shard_bytes: int):
     """Of a bucket: stretches that occur again are marked whole; different stretches of one anchor are to be compared.
 
-    ask is 0 for a mark, 1 for a stretch to compare, 2 for one that is marked already and only a partner for others.
+    Stretches are the same when their anchors and their own hashes are, 128 bits in all. ask is 0 for a mark, 1 for a
+    stretch to compare, 2 for one that is marked already and only a partner for others. part is the shard among the
+    anchor's shards, whose number is in the upper 32 bits.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -128,7 +145,7 @@ def _settle(shard_bytes: int):
         if len(heads):
             again = (sizes > 1) | np.logical_or.reduceat(columns[6], heads)
             settled = np.repeat(again, sizes) & ~columns[6]
-            marks = [np.concatenate([m, c[settled]]) for m, c in zip(marks, columns[2:6])]
+            marks = _union(*(np.concatenate([m, c[settled]]) for m, c in zip(marks, columns[2:6])))
             anchor = columns[0][heads]
             tops = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             many = np.diff(np.append(tops, len(anchor)))
@@ -136,8 +153,8 @@ def _settle(shard_bytes: int):
             size = np.add.reduceat((columns[5] - columns[4])[heads], tops)
             parts = np.repeat(-(-size // shard_bytes), many)
             own = np.repeat(open_, many)
-            part = (columns[1][heads] % parts.astype(np.uint64)).astype(np.int64)
-            asks = [c[heads][own] for c in (columns[2], columns[3], columns[4], columns[5])] + [anchor[own].view(np.int64), np.where(again, 2, 1)[own], np.where(parts > 1, part, -1)[own]]
+            part = (parts << 32) | (columns[1][heads] % parts.astype(np.uint64)).astype(np.int64)
+            asks = [c[heads][own] for c in (columns[2], columns[3], columns[4], columns[5])] + [anchor[own].view(np.int64), np.where(again, 2, 1)[own], part[own]]
         n = len(marks[0])
         values = [np.concatenate([m, a]) for m, a in zip(marks, asks[:4])] + [np.concatenate([np.zeros(n, np.int64), a]) for a in asks[4:]]
         names = ("key1", "key2", "start", "end", "anchor", "ask", "part")
@@ -234,14 +251,21 @@ def _repeated(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, passage:
     return order[slots], before | after, ~before
 
 
-def _intervals(positions: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted passage starts as (first, end) of the bytes that they cover without a gap."""
-    cut = np.flatnonzero(np.diff(positions) > width)
-    return positions[np.append(0, cut + 1)], positions[np.append(cut, len(positions) - 1)] + width
+def _prints(raw: np.ndarray, at: np.ndarray, passage: int) -> list[np.ndarray]:
+    """Two independent 64-bit prints of each passage."""
+    ahead, back = powers(len(raw) + 1)
+    out = []
+    for values in (_VALUES, _VALUES[::-1]):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * ahead[:-1])])
+        out.append(mix((sums[at + passage] - sums[at]) * back[at]))
+    return out
 
 
 def _shards(passage: int, shard_bytes: int):
-    """Marks found within shards; of anchors that several shards hold, fingerprints of passages not found again."""
+    """Marks found within shards, and of anchors that several shards hold the passages of each kind once, as sorted prints.
+
+    A row is an interval of a text (band -1), or all prints of an anchor in one band of values, packed.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         anchor, part = table.column("anchor").to_numpy(), table.column("part").to_numpy()
@@ -252,7 +276,8 @@ def _shards(passage: int, shard_bytes: int):
         contents = [v.as_py() for chunk in table.column("content").chunks for v in chunk]
         sizes = np.array([len(c) for c in contents], np.int64)
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])]))
-        out: dict[str, list] = {k: [] for k in ("key1", "key2", "start", "end", "print1", "print2", "anchor", "marked")}
+        marks: list[list] = [[np.zeros(0, np.int64)] * 4]
+        packed: dict[str, list] = {"anchor": [], "band": [], "prints": []}
         total, first = np.add.reduceat(sizes, heads), 0
         while first < len(heads):
             last = first + 1
@@ -265,49 +290,53 @@ def _shards(passage: int, shard_bytes: int):
             starts = np.cumsum(lengths) - lengths
             where, again, fresh = _repeated(raw, starts, lengths, passage)
             stretch = np.repeat(np.arange(len(own)), lengths)
-            asked, split = fields["ask"][own] == 1, part[own] >= 0
-            hit = np.sort(where[again & asked[stretch[where]]])
-            if len(hit):
-                bounds = np.searchsorted(hit, starts)
-                for s, (a, b) in enumerate(zip(bounds, [*bounds[1:], len(hit)])):
-                    if a < b:
-                        begin, end = _intervals(hit[a:b] - starts[s] + fields["start"][own[s]], passage)
-                        out["start"].append(begin)
-                        out["end"].append(end)
-                        for k in ("key1", "key2"):
-                            out[k].append(np.full(len(begin), fields[k][own[s]]))
-                        for k in ("print1", "print2", "anchor"):
-                            out[k].append(np.zeros(len(begin), np.int64))
-                        out["marked"].append(np.full(len(begin), 2, np.int64))
-            pick = fresh & split[stretch[where]]
+            asked, bands = fields["ask"][own] == 1, np.where(part[own] >> 32 > 1, (part[own] >> 32) * RANGES, 0)
+            hit = where[again & asked[stretch[where]]]
+            begin = hit - starts[stretch[hit]] + fields["start"][own[stretch[hit]]]
+            marks.append(_union(*(fields[k][own[stretch[hit]]] for k in ("key1", "key2")), begin, begin + passage))
+            pick = fresh & (bands > 0)[stretch[where]]
             if pick.any():
-                at, s = where[pick], own[stretch[where[pick]]]
-                ahead, back = powers(len(raw) + 1)
-                for k, values in (("print1", _VALUES), ("print2", _VALUES[::-1])):
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * ahead[:-1])])
-                    out[k].append(mix((sums[at + passage] - sums[at]) * back[at]).view(np.int64))
-                out["anchor"].append(anchor[s])
-                out["marked"].append((again[pick] | ~asked[stretch[at]]).astype(np.int64))
-                out["start"].append(at - starts[stretch[at]] + fields["start"][s])
-                out["end"].append(out["start"][-1] + passage)
-                for k in ("key1", "key2"):
-                    out[k].append(fields[k][s])
-        return pa.table({k: np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for k, v in out.items()})
+                at, known = where[pick], again[pick] | ~asked[stretch[where[pick]]]
+                print1, print2 = _prints(raw, at, passage)
+                s = own[stretch[at]]
+                turn = np.lexsort((print2, print1, anchor[s]))
+                at, s, known, print1, print2 = at[turn], s[turn], known[turn], print1[turn], print2[turn]
+                band = ((print1 >> np.uint64(32)) * bands[stretch[at]].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+                begin = at - starts[stretch[at]] + fields["start"][s]
+                rows = np.stack([print1.view(np.int64), print2.view(np.int64), fields["key1"][s], fields["key2"][s], begin, known])
+                cuts = np.flatnonzero(np.concatenate([[True], (anchor[s][1:] != anchor[s][:-1]) | (band[1:] != band[:-1])]))
+                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+                    for k, v in zip(packed, (int(anchor[s[a]]), int(band[a]), rows[:, a:b].tobytes())):
+                        packed[k].append(v)
+        columns = _union(*(np.concatenate(c) for c in zip(*marks)))
+        n, m = len(columns[0]), len(packed["band"])
+        out = {k: pa.array(np.concatenate([c, np.zeros(m, np.int64)])) for k, c in zip(("key1", "key2", "start", "end"), columns)}
+        out["anchor"] = pa.array([0] * n + packed["anchor"], pa.int64())
+        out["band"] = pa.array([-1] * n + packed["band"], pa.int64())
+        out["prints"] = pa.array([None] * n + packed["prints"], pa.binary())
+        return pa.table(out)
 
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """Passages of several shards of one anchor: each looks itself up in the sorted prints of all shards."""
-    names = ("anchor", "print1", "print2", "key1", "key2", "start", "end", "marked")
-    columns = {k: table.column(k).to_numpy() for k in names}
-    order = np.lexsort((columns["print2"], columns["print1"], columns["anchor"]))
-    columns = {k: v[order] for k, v in columns.items()}
-    joint = mix(columns["print1"].view(np.uint64) ^ mix(columns["anchor"].view(np.uint64))) ^ columns["print2"].view(np.uint64)
-    joint = np.sort(joint), joint
-    many = np.searchsorted(joint[0], joint[1], side="right") - np.searchsorted(joint[0], joint[1], side="left")
-    hit = (many > 1) & (columns["marked"] == 0)
-    return pa.table({k: columns[k][hit] for k in ("key1", "key2", "start", "end")})
+def _merge(passage: int):
+    """Passages that several shards of one anchor hold: each looks itself up in the sorted prints of all shards.
+
+    Binary search by the first print gives the candidates, and the second print must be the same too.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = [np.frombuffer(v.as_buffer(), np.int64).reshape(6, -1) for chunk in table.column("prints").chunks for v in chunk]
+        rows = np.concatenate(blobs, axis=1)
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        low, high = (np.searchsorted(rows[0], rows[0], side=side) for side in ("left", "right"))
+        rows = rows[:, high - low > 1]
+        same = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
+        hit = (np.append(same, False) | np.append(False, same))[: rows.shape[1]] & (rows[5] == 0)
+        columns = _union(rows[2][hit], rows[3][hit], rows[4][hit], rows[4][hit] + passage)
+        return pa.table(dict(zip(("key1", "key2", "start", "end"), columns)))
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,8 +384,10 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, anchor: int = ANC
     twice is repeated as a whole. What is left, different stretches of one anchor, is fetched once each and sharded by
     anchor; a shard gets a suffix array by Larsson-Sadakane refinement and Kasai's prefixes, and neighbours that share
     ``passage`` bytes are repeats. An anchor with more than ``shard_bytes`` of stretches is cut into several shards; their
-    sorted passages are merged by binary search over 128-bit prints, one of each kind a shard. Copies are combined within
-    tasks, so a group of copies sends one row a task.
+    sorted passages are merged by binary search over 128-bit prints, one of each kind a shard, sent packed by bands of
+    values. Copies are combined within tasks, so a group of copies sends one row a task, and marked bytes travel as few
+    intervals as cover them. Equal stretches, whole copies among them, are told by hashes and do not reach the suffix arrays;
+    only what differs does. Neither there nor between shards are bytes compared: 128 bits decide.
 
     Null, empty and short texts have no spans. Rows that repeat an id and a text are copies of each other like any others.
     An empty table gives no rows; further columns are ignored.
@@ -376,16 +407,12 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, anchor: int = ANC
     cut = cut.mapInArrow(_cut, "key1 long, key2 long, start long, anchor long, ask long, part long, content binary")
     total = asks.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
     shards = max(8, total // shard_bytes + 1)
-    sharded = cut.withColumn("bucket", F.pmod(F.xxhash64("anchor", F.when(F.col("part") >= 0, F.col("part")).otherwise(0)), F.lit(shards)).cast("int"))
-    found = durable(
-        sharded.groupBy("bucket").applyInArrow(
-            _shards(passage, shard_bytes), "key1 long, key2 long, start long, end long, print1 long, print2 long, anchor long, marked long"
-        )
-    )
-    prints = found.where("marked < 2").withColumn("bucket", F.pmod(F.xxhash64("anchor", "print1", "print2"), F.lit(shards)).cast("int"))
-    merged = prints.groupBy("bucket").applyInArrow(_merge, "key1 long, key2 long, start long, end long")
+    sharded = cut.withColumn("bucket", F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)).cast("int"))
+    intervals = "key1 long, key2 long, start long, end long"
+    found = durable(sharded.groupBy("bucket").applyInArrow(_shards(passage, shard_bytes), f"{intervals}, anchor long, band long, prints binary"))
+    merged = found.where("band >= 0").select("anchor", "band", "prints").groupBy("anchor", "band").applyInArrow(_merge(passage), intervals)
     names = ["key1", "key2", "start", "end"]
-    marks = settled.where("ask = 0").select(names).unionByName(found.where("marked = 2").select(names)).unionByName(merged)
+    marks = settled.where("ask = 0").select(names).unionByName(found.where("band < 0").select(names)).unionByName(merged)
     spans = marks.groupBy("key1", "key2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     whole = texts.join(spans.hint("shuffle_hash"), ["key1", "key2"], "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from hourloom.llm import decontamination, exact_dedup, language, language_model, ngram_join, packing, secrets, sharding, suffix_dedup, toxicity
@@ -136,19 +137,42 @@ def test_near_duplicates(spark, rows, group_tokens):
     assert got == {d: (len(sets[d]), root[d]) for d in sets}
 
 
-@pytest.mark.parametrize("shard_bytes", [suffix_dedup.SHARD_BYTES, 700])
-def test_repeated_passages(spark, rows, shard_bytes):
-    seen = collections.Counter(b[i : i + 60] for _, t in rows for b in [(t or "").encode()] for i in range(len(b) - 59))
+def _brute_passages(rows, passage):
+    seen = collections.Counter(b[i : i + passage] for _, t in rows for b in [(t or "").encode()] for i in range(len(b) - passage + 1))
     want = []
     for d, t in rows:
         b, mask = (t or "").encode(), bytearray(len((t or "").encode()))
-        for i in range(len(b) - 59):
-            if seen[b[i : i + 60]] > 1:
-                mask[i : i + 60] = b"\1" * 60
+        for i in range(len(b) - passage + 1):
+            if seen[b[i : i + passage]] > 1:
+                mask[i : i + passage] = b"\1" * passage
         want.append((d, len(b), sum(mask), sum(1 for x in bytes(mask).split(b"\0") if x), hashlib.sha256(bytes(x for x, m in zip(b, mask) if not m)).hexdigest()))
-    rows = suffix_dedup.repeated_passages(_frame(spark, rows), 60, 16, shard_bytes).collect()
-    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in rows]
-    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    return sorted(map(repr, want))
+
+
+def _spans_found(rows):
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in rows.collect()]
+    return sorted(map(repr, got))
+
+
+@pytest.mark.parametrize("shard_bytes", [suffix_dedup.SHARD_BYTES, 700])
+def test_repeated_passages(spark, rows, shard_bytes):
+    assert _spans_found(suffix_dedup.repeated_passages(_frame(spark, rows), 60, 16, shard_bytes)) == _brute_passages(rows, 60)
+
+
+def test_repeated_passages_of_one_anchor_in_many_shards(spark):
+    """A phrase in every text, and passages around it that two or three texts share, over more shards than texts a shard."""
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    phrase, sides = letters(20), [letters(70) for _ in range(12)]
+    rows = [(i, letters(30) + rng.choice(sides)[rng.randrange(40) :] + phrase + rng.choice(sides)[: rng.randrange(60)] + letters(50)) for i in range(150)]
+    rows += [(200, "x" * 5_000), (201, phrase), (202, rows[7][1])]
+    assert _spans_found(suffix_dedup.repeated_passages(_frame(spark, rows), 60, 16, 900)) == _brute_passages(rows, 60)
+
+
+def test_intervals_of_texts():
+    columns = [np.array(c, np.int64) for c in zip((1, 1, 0, 4), (1, 1, 3, 6), (1, 2, 0, 9), (0, 5, 5, 6), (1, 1, 8, 9), (1, 1, 6, 7))]
+    assert [c.tolist() for c in suffix_dedup._union(*columns)] == [[0, 1, 1, 1], [5, 1, 1, 2], [5, 0, 8, 0], [6, 7, 9, 9]]
+    assert [len(c) for c in suffix_dedup._union(*(c[:0] for c in columns))] == [0] * 4
 
 
 @pytest.mark.parametrize("limit", [decontamination.BROADCAST_BYTES, 0])
