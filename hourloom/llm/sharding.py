@@ -26,7 +26,7 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarra
     sent = np.zeros((len(counts), shards), np.int64)
     for block, count in enumerate(counts):
         left = int(count)
-        # one shard after the other: the marginal of the multivariate law, exact for any size below 1e9 rows each
+        # one shard after the other: the marginal of the multivariate law
         after = int(room.sum())
         for shard in range(shards):
             after -= int(room[shard])
@@ -37,20 +37,27 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarra
     return sent
 
 
-def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Hypergeometric; numpy takes sums under 1e9, larger ones are split in halves, which keeps the law."""
+def _draw(rng: np.random.Generator, good: int, bad: int, n: int, quick: int = 1_000_000_000) -> int:
+    """Hypergeometric, of any size: how many of n rows drawn without replacement are good.
+
+    numpy takes sums under 1e9. Beyond, the law is inverted: weights follow from the mode by the ratio of neighbours, which
+    needs no logarithms of factorials, as far as twelve standard deviations and 60 rows to both sides; what lies outside
+    weighs less than the last digit of the sum.
+    """
     if not n or not good:
         return 0
-    if good + bad < 1_000_000_000:
+    total = good + bad
+    if total < quick:
         return int(rng.hypergeometric(good, bad, n))
-    half_good, half_bad = good // 2, bad // 2
-    size = half_good + half_bad
-    if n <= 1:
-        return int(rng.random() * (good + bad) < good)
-    # how many of the n come from the first half is hypergeometric too, and close to normal at this size
-    mean, spread = n * size / (good + bad), (n * (size / (good + bad)) * (1 - size / (good + bad)) * (good + bad - n) / (good + bad - 1)) ** 0.5
-    first = int(np.clip(round(rng.normal(mean, spread)), max(0, n - (good + bad - size)), min(n, size)))
-    return _draw(rng, half_good, half_bad, first) + _draw(rng, good - half_good, bad - half_bad, n - first)
+    least, most = max(0, n - bad), min(n, good)
+    mode = min(max((n + 1) * (good + 1) // (total + 2), least), most)
+    reach = 60 + int(12 * (n * (good / total) * (bad / total) * ((total - n) / (total - 1))) ** 0.5)
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    up, down = np.arange(mode, high, dtype=float), np.arange(mode, low, -1, dtype=float)
+    after = np.cumprod((good - up) * (n - up) / ((up + 1) * (bad - n + up + 1)))
+    before = np.cumprod(down * (bad - n + down) / ((good - down + 1) * (n - down + 1)))
+    odds = np.cumsum(np.concatenate([before[::-1], [1.0], after]))
+    return low + min(int(np.searchsorted(odds, rng.random() * odds[-1], side="right")), len(odds) - 1)
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = 40, seed: int = 1) -> DataFrame:
