@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import io
+import mmap
 import os
 import string
+import sys
 import tempfile
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +20,11 @@ from pyspark.sql import functions as F
 
 from hourloom.session import checkpoint_dir
 
-_opened: dict[str, np.ndarray] = {}
+#: Since Python 3.13 a mapping needs no descriptor of its own; before, each holds one, and processes have some thousand.
+_FREE = sys.version_info >= (3, 13)
+#: Most arrays that a worker keeps mapped; the one used longest ago goes first.
+MAPPED = 8192 if _FREE else 256
+_opened: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +52,6 @@ def own_name(df: DataFrame, name: str) -> str:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's shared checkpoint folder."""
-    import uuid
-
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -69,10 +75,11 @@ def local_path(uri: str) -> str | None:
 
 
 def write_bytes(uri: str, data: bytes) -> None:
-    """Write a file of a shared folder in one step: a repeated task writes the same bytes again."""
+    """Write a file of a shared folder in one step: a repeated task writes the same bytes again, under a name of its own first."""
+    mark = uuid.uuid4().hex
     if (path := local_path(uri)) is not None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(partial := f"{path}.{os.getpid()}", "wb") as out:
+        with open(partial := f"{path}.{mark}", "wb") as out:
             out.write(data)
         os.replace(partial, path)
         return
@@ -80,7 +87,7 @@ def write_bytes(uri: str, data: bytes) -> None:
 
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(os.path.dirname(path), recursive=True)
-    with store.open_output_stream(partial := f"{path}.{os.getpid()}") as out:
+    with store.open_output_stream(partial := f"{path}.{mark}") as out:
         out.write(data)
     store.move(partial, path)
 
@@ -90,22 +97,37 @@ def save_array(folder: str, name: str, values: np.ndarray) -> None:
     write_bytes(f"{folder}/{name}.npy", out.getvalue())
 
 
+def _mapped(source) -> np.ndarray:
+    """The array of an open .npy file, mapped; the file may be closed, and the mapping ends with the array."""
+    major, _ = np.lib.format.read_magic(source)
+    read = np.lib.format.read_array_header_1_0 if major == 1 else np.lib.format.read_array_header_2_0
+    shape, fortran, kind = read(source)
+    if not all(shape):
+        return np.zeros(shape, kind)
+    options = {"trackfd": False} if _FREE else {}
+    held = mmap.mmap(source.fileno(), 0, access=mmap.ACCESS_READ, **options)
+    return np.ndarray(shape, kind, held, source.tell(), order="F" if fortran else "C")
+
+
 def open_array(folder: str, name: str) -> np.ndarray:
     """A stored array, memory-mapped; one of a store without paths is first copied beside the worker."""
     uri = f"{folder}/{name}.npy"
-    if uri not in _opened:
-        if len(_opened) > 4096:
-            _opened.clear()
-        path = local_path(uri)
-        if path is None:
-            from pyarrow import fs
-
-            store, inside = fs.FileSystem.from_uri(uri)
-            with store.open_input_stream(inside) as source, tempfile.NamedTemporaryFile(suffix=".npy") as copy:
-                while part := source.read(1 << 24):
-                    copy.write(part)
-                copy.flush()
-                _opened[uri] = np.load(copy.name, mmap_mode="r")  # stays readable without a name
-        else:
-            _opened[uri] = np.load(path, mmap_mode="r")
+    if uri in _opened:
+        _opened.move_to_end(uri)
+        return _opened[uri]
+    while len(_opened) >= MAPPED:
+        _opened.popitem(last=False)
+    if (path := local_path(uri)) is not None:
+        with open(path, "rb") as source:
+            _opened[uri] = _mapped(source)
+        return _opened[uri]
+    from pyarrow import fs
+
+    store, inside = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(inside) as source, tempfile.TemporaryFile() as copy:
+        while part := source.read(1 << 24):
+            copy.write(part)
+        copy.flush()
+        copy.seek(0)
+        _opened[uri] = _mapped(copy)  # stays readable without a name
     return _opened[uri]
