@@ -17,6 +17,8 @@ from hourloom.session import BROADCAST_ROWS, durable
 
 #: Most labelled documents of one language that a fit reads, and the bytes that all languages share.
 SAMPLE, SAMPLE_BYTES = 400, 16_000_000
+#: Groups of tasks whose smallest hashes of a language are ranked before those of all tasks.
+GROUPS = 1024
 _LETTER = re.compile(r"[^\W\d_]")  # with numerals such as fractions, which are no letters
 _BUCKETS_BITS = 16
 _GRAMS = (1, 2, 3, 4)
@@ -150,16 +152,18 @@ def training_sample(labelled: DataFrame, per_language: int = SAMPLE, most_bytes:
 
     The languages share ``most_bytes`` evenly, and each has its first document whatever its size, so the sample is bounded by
     rows and bytes a language and none goes unlearned. Ranks are taken over hashes and sizes, without the texts; each task
-    passes on its own smallest hashes only, so no task and not the driver gathers a language. What is left is one last hash a
-    language, and a second scan reads the texts up to it.
+    passes on its own smallest hashes only, and groups of tasks rank theirs first, so the one task that ranks a language reads at
+    most ``GROUPS`` times ``per_language`` of them. What is left is one last hash a language, and a second scan reads the
+    texts up to it, copies combined within tasks.
     """
     own = Window.partitionBy("lang").orderBy("order", "tie")
     so_far = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keyed = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", "text", F.xxhash64("doc_id", "lang").alias("order"), F.xxhash64("text").alias("tie"), F.octet_length("text").alias("bytes")
     )
-    first = lambda rows: rows.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= per_language)
-    ranked = durable(first(keyed.drop("text")))
+    first = lambda rows, window: rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= per_language)
+    grouped = keyed.drop("text").withColumn("group", F.pmod(F.spark_partition_id(), F.lit(GROUPS)))
+    ranked = durable(first(first(grouped, Window.partitionBy("lang", "group").orderBy("order", "tie")).drop("group", "rank"), own))
     languages = ranked.select("lang").distinct().count()
     if not languages:
         return [], []
@@ -167,7 +171,8 @@ def training_sample(labelled: DataFrame, per_language: int = SAMPLE, most_bytes:
     last = ranked.withColumn("fits", fits).where("fits").groupBy("lang").agg(F.max(F.struct("order", "tie")).alias("last"), F.max("rank").alias("many"))
     if languages <= BROADCAST_ROWS:
         last = F.broadcast(last)
-    chosen = first(keyed.join(last, "lang").where(F.struct("order", "tie") <= F.col("last"))).where(F.col("rank") <= F.col("many"))
+    texts = keyed.join(last, "lang").where(F.struct("order", "tie") <= F.col("last")).groupBy("lang", "order", "tie").agg(F.first("text").alias("text"))
+    chosen = ranked.join(last, "lang").where(F.col("rank") <= F.col("many")).join(texts, ["lang", "order", "tie"])
     rows = list(chosen.select("lang", "text", "rank").orderBy("rank", "lang").toLocalIterator())
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
