@@ -295,23 +295,48 @@ class _Tree:
                     stack.append((level - 1, a[inside], b[inside]))
 
 
-def linked_pairs(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> _Forest:
-    """A forest over the sets whose trees are the classes that the similar pairs of the sets make; every join is exact.
+def _runs(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays back to back and the positions at which they begin."""
+    return np.concatenate(values), np.concatenate([[0], np.cumsum([len(v) for v in values])])
 
-    With ``side``, pairs of one side only are left to other calls. Sets must be in order of size.
+
+def _hits(flat: np.ndarray, starts: np.ndarray, rows: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """How many values of each run are flagged."""
+    n = starts[rows + 1] - starts[rows]
+    before = np.cumsum(n) - n
+    sums = np.concatenate([[0], np.cumsum(flag[flat[np.repeat(starts[rows] - before, n) + np.arange(n.sum())]])])
+    return sums[before + n] - sums[before]
+
+
+def linked_pairs(
+    sets: list[np.ndarray], side: np.ndarray | None, percent: int, weight: np.ndarray | None = None, earlier: list[np.ndarray] | None = None,
+) -> tuple[_Forest, np.ndarray]:
+    """A forest over the sets whose trees are the classes that the similar pairs of the sets make, and the links of each set.
+
+    Every pair that may be similar is compared exactly, whether its class is joined already or not. A set's links are
+    the sum of ``weight`` (1 by default) over the sets that it links with. With ``side``, pairs of one side only are left
+    to other calls. ``earlier`` names the calls before this one in which a set takes part: pairs that share one are joined
+    but not counted again. Sets must be in order of size.
     """
-    forest = _Forest(len(sets))
+    forest, links = _Forest(len(sets)), np.zeros(len(sets), np.int64)
+    weight = np.ones(len(sets), np.int64) if weight is None else weight
     if len(sets) <= 8:
         for x in range(len(sets)):
             for y in range(x + 1, len(sets)):
-                if 100 * len(sets[x]) >= percent * len(sets[y]) and (side is None or side[x] != side[y]) and forest.root(x) != forest.root(y):
-                    if _similar(sets[x], sets[y], percent):
-                        forest.join(x, y)
-        return forest
+                if 100 * len(sets[x]) >= percent * len(sets[y]) and (side is None or side[x] != side[y]) and _similar(sets[x], sets[y], percent):
+                    forest.join(x, y)
+                    if earlier is None or not len(np.intersect1d(earlier[x], earlier[y])):
+                        links[x] += weight[y]
+                        links[y] += weight[x]
+        return forest, links
     n = np.array([len(s) for s in sets])
-    flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum(n)])
+    flat, starts = _runs(sets)
     vocabulary, flat = np.unique(flat, return_inverse=True)
     flag = np.zeros(len(vocabulary), bool)
+    if earlier is not None:
+        calls, first = _runs(earlier)
+        known, calls = np.unique(calls, return_inverse=True)
+        shared = np.zeros(len(known), bool)
     roots = np.arange(len(sets))
     for i, j in _Tree(sets).pairs(percent):
         if side is not None:
@@ -321,49 +346,56 @@ def linked_pairs(sets: list[np.ndarray], side: np.ndarray | None, percent: int)
         cuts = np.searchsorted(i, np.unique(i))
         for start, end in zip(cuts, [*cuts[1:], len(i)]):
             x, ys = int(i[start]), j[start:end]
-            ys = ys[roots[ys] != roots[x]]
-            if not len(ys):
-                continue
             own = flat[starts[x] : starts[x + 1]]
             flag[own] = True
-            at = np.repeat(starts[ys] - np.concatenate([[0], np.cumsum(n[ys])[:-1]]), n[ys]) + np.arange(n[ys].sum())
-            common = np.add.reduceat(flag[flat[at]].astype(np.int64), np.concatenate([[0], np.cumsum(n[ys])[:-1]]))
+            common = _hits(flat, starts, ys, flag)
             flag[own] = False
             good = ys[100 * common >= percent * (n[x] + n[ys] - common)]
-            if len(good):
-                for y in good.tolist():
+            other = good[roots[good] != roots[x]]
+            if len(other):
+                for y in other.tolist():
                     forest.join(x, y)
-                met = np.unique(np.append(roots[good], roots[x]))
+                met = np.unique(np.append(roots[other], roots[x]))
                 roots[np.isin(roots, met)] = met[0]
-    return forest
+            if earlier is not None and len(good):
+                own = calls[first[x] : first[x + 1]]
+                shared[own] = True
+                good = good[_hits(calls, first, good, shared) == 0]
+                shared[own] = False
+            links[x] += weight[good].sum()
+            links[good] += weight[x]
+    return forest, links
 
 
 def _compare(percent: int):
-    """Links of the groups of one bucket: each class found in a group as a star."""
+    """Links of the groups of one bucket: each class found in a group as a star, with each member's links."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["token", "i", "j", "part", "node"]).to_pydict()
-        stored = table.column("tokens").combine_chunks()
+        rows = table.select(["token", "i", "j", "part", "node", "rows"]).to_pydict()
+        stored, others = table.column("tokens").combine_chunks(), table.column("others").combine_chunks()
         groups: dict[tuple, list[int]] = {}
         for k, key in enumerate(zip(rows["token"], rows["i"], rows["j"])):
             groups.setdefault(key, []).append(k)
-        a, b = [], []
-        for (_, i, j), members in groups.items():
+        a, b, links = [], [], []
+        for (token, i, j), members in groups.items():
             nodes: dict[int, int] = {}
             for k in members:
                 nodes.setdefault(rows["node"][k], k)
             sets = {k: np.frombuffer(stored[k].as_buffer(), np.uint64) for k in nodes.values()}
             order = sorted(sets, key=lambda k: len(sets[k]))
             side = np.array([rows["part"][k] for k in order]) if i != j else None
-            forest = linked_pairs([sets[k] for k in order], side, percent)
+            # a pair of several groups counts in the one of the least token
+            earlier = [np.array([t for t in others[k].as_py() if t < token], np.int64) for k in order] if i >= 0 else None
+            forest, found = linked_pairs([sets[k] for k in order], side, percent, np.array([rows["rows"][k] for k in order], np.int64), earlier)
             classes: dict[int, list[int]] = {}
             for x, k in enumerate(order):
-                classes.setdefault(forest.root(x), []).append(rows["node"][k])
+                classes.setdefault(forest.root(x), []).append(x)
             for own in classes.values():
-                least = min(own)
-                a += [x for x in own if x != least]
-                b += [least] * (len(own) - 1)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                if len(own) > 1:
+                    a += [rows["node"][order[x]] for x in own]
+                    b += [min(rows["node"][order[x]] for x in own)] * len(own)
+                    links += found[own].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(links, pa.int64())})
 
     return run
 
@@ -371,8 +403,8 @@ def _compare(percent: int):
 def _full(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            arrays = [batch.column("groups"), batch.column("node"), pa.array([s.tobytes() for s in _sets(batch, n)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["groups", "node", "tokens"])
+            arrays = [batch.column("groups"), batch.column("node"), batch.column("rows"), pa.array([s.tobytes() for s in _sets(batch, n)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["groups", "node", "rows", "tokens"])
 
     return run
 
@@ -382,7 +414,7 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of every row of ``docs``.
+    """doc_id, text_hash, n_shingles, component_id, n_links of every row of ``docs``.
 
     Two sets of n-word shingles link when 100 * common >= percent * union; component_id is the smallest doc_id
     reachable. Equal sets are one node. A link needs a common token among the first of both sets, in any one order of all
@@ -392,7 +424,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, group_tokens
     is left out, and groups that share members are compared as one if they fit ``group_tokens``: their sets form a
     signature tree whose dual traversal cuts pairs of tree nodes by sizes and by the largest possible overlap, and what is
     left is compared exactly. Larger unions stay single groups, and of these a group of more than ``group_tokens`` tokens is cut
-    by hash into parts, of which each pair is compared, so memory has a bound and no pair is lost. Only links that join classes leave a task, at most one a member.
+    by hash into parts, of which each pair is compared, so memory has a bound and no pair is lost. A task sends one row a member that
+    has links: a member of its class and the number of links, so pairs are compared and counted but never listed. n_links is the
+    number of other rows that a row links with, copies and other texts alike; a pair that meets in several groups counts once.
 
     Null and empty texts have no shingles and no links. Repeated rows get equal results; null ids are reachable but
     are named only if a class has no other id. An empty table gives no rows; further columns are ignored.
@@ -426,24 +460,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, group_tokens
     both = F.expr("transform(sequence(0, parts - 1), k -> struct(token, least(part, k) AS i, greatest(part, k) AS j, part))")
     split = split.select("node", F.explode(both).alias("group")).groupBy("node").agg(F.collect_list("group").alias("groups"))
     wanted = durable(one.unionByName(split))
-    place = slim.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"))
-    place = place.join(wanted, "node").select(F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash"), "node", "groups")
+    place = slim.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.count(F.lit(1)).alias("rows"))
+    place = place.join(wanted, "node").select(F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash"), "node", "rows", "groups")
     found = texts.join(place.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    sets = found.select("text", "groups", "node").mapInArrow(_full(n), "groups array<struct<token:long,i:int,j:int,part:int>>, node long, tokens binary")
-    members = sets.select("node", "tokens", F.explode("groups").alias("g")).select("node", "tokens", "g.*")
+    sets = found.select("text", "groups", "node", "rows").mapInArrow(_full(n), "groups array<struct<token:long,i:int,j:int,part:int>>, node long, rows long, tokens binary")
+    others = F.array_distinct("groups.token").alias("others")
+    members = sets.select("node", "rows", "tokens", others, F.explode("groups").alias("g")).select("node", "rows", "tokens", "others", "g.*")
     buckets = 1 << max(bits, (wanted.select(F.sum(F.size("groups"))).first()[0] or 0).bit_length() - 9)
     members = members.withColumn("bucket", F.pmod(F.xxhash64("token", "i", "j"), F.lit(buckets)).cast("int"))
-    links = members.groupBy("bucket").applyInArrow(_compare(percent), "a long, b long")
-    roots = durable(components(links))
+    links = durable(members.groupBy("bucket").applyInArrow(_compare(percent), "a long, b long, links long"))
+    counts = links.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    roots = durable(components(links.where("a != b").select("a", "b")))
     named = roots.join(classes, "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = roots.join(names, "root").select("node", "component_id")
-    several = classes.where("rows > 1").select("node", F.col("least").alias("own_id")).join(linked, "node", "full_outer").select("node", F.coalesce("component_id", "own_id").alias("component_id"))
+    linked = roots.join(names, "root").join(counts, "node").select("node", "component_id", "links")
+    several = classes.where("rows > 1").select("node", F.col("least").alias("own_id"), "rows").join(linked, "node", "full_outer")
+    many = (F.coalesce("links", F.lit(0)) + F.coalesce("rows", F.lit(1)) - 1).alias("links")
+    several = several.select("node", F.coalesce("component_id", "own_id").alias("component_id"), many)
     salts = 16
     several = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = slim.withColumn("salt", F.pmod(F.hash("doc_id", "text_hash"), F.lit(salts))).join(several, ["node", "salt"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    links = F.when(F.col("n") > 0, F.coalesce("links", F.lit(0))).otherwise(0).cast("long")
+    return rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), links.alias("n_links"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -39,7 +39,7 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), n=4, percent=85)
-    return rows.select("doc_id", "n_shingles", "component_id")
+    return rows.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @_query()

@@ -120,7 +120,7 @@ def _sets(rows, n):
         yield d, frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("group_tokens", [ngram_join.GROUP_TOKENS, 400])
+@pytest.mark.parametrize("group_tokens", [ngram_join.GROUP_TOKENS, 4000, 400])
 def test_near_duplicates(spark, rows, group_tokens):
     rows = [r for r in rows if r[0] is not None]
     sets = dict(_sets(rows, 4))
@@ -133,8 +133,28 @@ def test_near_duplicates(spark, rows, group_tokens):
                     root[a] = root[b] = min(root[a], root[b])
         if root == before:
             break
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(_frame(spark, rows), 4, 85, group_tokens).collect()}
-    assert got == {d: (len(sets[d]), root[d]) for d in sets}
+    linked = lambda a, b: bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    links = {d: sum(linked(d, other) for other, _ in rows) - bool(sets[d]) for d in sets}
+    assert max(links.values()) > 5
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_duplicates(_frame(spark, rows), 4, 85, group_tokens).collect())
+    assert got == collections.Counter((d, len(sets[d]), root[d], links[d]) for d, _ in rows)
+
+
+@pytest.mark.parametrize("many", [6, 40])
+def test_links_are_counted_once_over_calls(many):
+    rng = np.random.default_rng(many)
+    base = rng.integers(1, 1 << 62, 60).astype(np.uint64)
+    sets = [np.unique(np.append(rng.choice(base, 56, replace=False), rng.integers(1, 1 << 62, rng.integers(0, 6)).astype(np.uint64))) for _ in range(many)]
+    sets.sort(key=len)
+    weight, side = rng.integers(1, 5, many), rng.integers(0, 2, many)
+    earlier = [rng.choice(9, rng.integers(0, 3), replace=False).astype(np.int64) for _ in range(many)]
+    similar = lambda x, y: x != y and 100 * len(np.intersect1d(sets[x], sets[y])) >= 85 * len(np.union1d(sets[x], sets[y]))
+    for sides, calls in ((None, None), (side, None), (None, earlier), (side, earlier)):
+        fits = lambda x, y: similar(x, y) and (sides is None or sides[x] != sides[y])
+        new = lambda x, y: calls is None or not set(calls[x]) & set(calls[y])
+        forest, links = ngram_join.linked_pairs(sets, sides, 85, weight, calls)
+        assert links.tolist() == [sum(int(weight[y]) for y in range(many) if fits(x, y) and new(x, y)) for x in range(many)]
+        assert all(forest.root(x) == forest.root(y) for x in range(many) for y in range(many) if fits(x, y))
 
 
 def _brute_passages(rows, passage):
