@@ -10,7 +10,8 @@ import sys
 import tempfile
 import uuid
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from hourloom.session import checkpoint_dir
 _FREE = sys.version_info >= (3, 13)
 #: Most arrays that a worker keeps mapped; the one used longest ago goes first.
 MAPPED = 8192 if _FREE else 256
-_opened: OrderedDict[str, np.ndarray] = OrderedDict()
+_opened: OrderedDict = OrderedDict()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,27 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Remove a folder that a finished step has no more use for."""
+    path, context = spark._jvm.org.apache.hadoop.fs.Path(uri), spark.sparkContext
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within the block, the shuffle files of a query go when it ends, and not only when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text (one text may be longer), to bound a task's memory."""
     for batch in batches:
@@ -109,8 +131,8 @@ def _mapped(source) -> np.ndarray:
     return np.ndarray(shape, kind, held, source.tell(), order="F" if fortran else "C")
 
 
-def open_array(folder: str, name: str) -> np.ndarray:
-    """A stored array, memory-mapped; one of a store without paths is first copied beside the worker."""
+def open_array(folder: str, name: str, view: Callable = lambda array: array):
+    """A stored array, memory-mapped, or a view of it; one of a store without paths is first copied beside the worker."""
     uri = f"{folder}/{name}.npy"
     if uri in _opened:
         _opened.move_to_end(uri)
@@ -119,7 +141,7 @@ def open_array(folder: str, name: str) -> np.ndarray:
         _opened.popitem(last=False)
     if (path := local_path(uri)) is not None:
         with open(path, "rb") as source:
-            _opened[uri] = _mapped(source)
+            _opened[uri] = view(_mapped(source))
         return _opened[uri]
     from pyarrow import fs
 
@@ -129,5 +151,5 @@ def open_array(folder: str, name: str) -> np.ndarray:
             copy.write(part)
         copy.flush()
         copy.seek(0)
-        _opened[uri] = _mapped(copy)  # stays readable without a name
+        _opened[uri] = view(_mapped(copy))  # stays readable without a name
     return _opened[uri]

@@ -1,4 +1,9 @@
-"""An interpolated modified Kneser-Ney model of any order from 2: counted by Spark, stored as sorted arrays, memory-mapped by workers."""
+"""An interpolated modified Kneser-Ney model of any order from 2: counted by Spark, stored as sorted hash arrays, memory-mapped by workers.
+
+An n-gram is stored by 32 bits of its 64-bit hash besides those that tell its file and its page of at most some 16 n-grams,
+so 1 of 10**8 n-grams that training never saw is taken for another one, at any size of the corpus. Of its numbers (counts, sums
+over what follows) the 255 most frequent rows of a file are codes of one byte; all others are listed whole.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +16,115 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.bytewords import buffers, mix, word_bounds, words
-from hourloom.llm.common import open_array, save_array, shared_folder, slices
+from hourloom.llm.common import open_array, remove_folder, save_array, shared_folder, shuffles_removed, slices
 
 #: The token that ends, and as a context begins, every text.
 END_HASH = np.uint64(0x5BD1E9955BD1E995)
 #: Distinct keys that a task collects before it passes them on, and bytes of text for each file of the model.
 _HELD, _FILE_BYTES = 1_500_000, 8_000_000
-_LOW = np.uint64(0xFFFFFFFF)
+#: Bytes of text that a task scores at once: the more, the fewer times it goes through the files.
+_SCORED_BYTES = 4_000_000
+_KINDS = (np.uint8, np.uint32, np.uint64, np.int64)
+_PACKED = pa.Codec("zstd", 3)
+
+
+def _bundle(parts: list[np.ndarray]) -> np.ndarray:
+    """Arrays of one or two dimensions as one, back to back after a table of their kinds and shapes."""
+    head = [len(parts)]
+    for p in parts:
+        head += [_KINDS.index(p.dtype.type), len(p), p.shape[1] if p.ndim > 1 else 0]
+    raw = [np.array(head, np.int64).tobytes(), *(p.tobytes() + bytes(-p.nbytes % 8) for p in parts)]
+    return np.frombuffer(b"".join(raw), np.uint8)
+
+
+def _unbundle(blob: np.ndarray) -> list[np.ndarray]:
+    many = int(blob[:8].view(np.int64)[0])
+    head, at, out = blob[8 : 8 + 24 * many].view(np.int64).reshape(many, 3).tolist(), 8 + 24 * many, []
+    for kind, rows, columns in head:
+        size = rows * max(columns, 1) * np.dtype(_KINDS[kind]).itemsize
+        values = blob[at : at + size].view(_KINDS[kind])
+        out.append(values.reshape(rows, columns) if columns else values)
+        at += size + -size % 8
+    return out
+
+
+def _coded(rows: np.ndarray) -> list[np.ndarray]:
+    """Rows of numbers as codes of the most frequent ones (book, codes); code 255 stands for one of those listed whole (where, rows)."""
+    prints = np.zeros(len(rows), np.uint64)
+    for column in rows.T:
+        prints = mix(prints + column.astype(np.uint64))
+    _, first, code, many = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+    often = np.argsort(-many, kind="stable")[:255]
+    place = np.full(len(many), 255, np.uint8)
+    place[often] = np.arange(len(often))
+    book = rows[first[often]]
+    codes = place[code]
+    # rows whose print is that of another row are listed too
+    codes[(book[np.minimum(codes, max(len(book) - 1, 0))] != rows).any(1) if len(book) else slice(0)] = 255
+    rest = np.flatnonzero(codes == 255)
+    return [book, codes, rest.astype(np.uint32), rows[rest].astype(np.uint32 if rows.max(initial=0) < 1 << 32 else np.int64)]
+
+
+def _decoded(book: np.ndarray, codes: np.ndarray, where: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    code = codes[at]
+    out = book[np.minimum(code, len(book) - 1)]
+    rest = code == 255
+    if rest.any():
+        out[rest] = rows[np.searchsorted(where, at[rest])]
+    return out
+
+
+def _paged(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Sorted hashes that agree in their first bits, as starts of pages by the next bits, and the 32 bits after those."""
+    page_bits = max((len(hashes) // 8).bit_length() - 1, 0)
+    page = (hashes << np.uint64(bits) >> np.uint64(32)) >> np.uint64(32 - page_bits)
+    starts = np.searchsorted(page, np.arange((1 << page_bits) + 1, dtype=np.uint64))
+    return [starts.astype(np.uint32), (hashes << np.uint64(bits + page_bits) >> np.uint64(32)).astype(np.uint32)]
+
+
+def _place(starts: np.ndarray, rest: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Where the hashes stand in a paged list, -1 for those that it does not hold: bisection within their pages."""
+    page_bits = (len(starts) - 1).bit_length() - 1
+    page = ((hashes << np.uint64(bits) >> np.uint64(32)) >> np.uint64(32 - page_bits)).astype(np.int64)
+    wanted = (hashes << np.uint64(bits + page_bits) >> np.uint64(32)).astype(np.uint32)
+    low, high = starts[page].astype(np.int64), starts[page + 1].astype(np.int64)
+    end = high
+    while (low < high).any():
+        middle = (low + high) >> 1
+        less = (rest[np.minimum(middle, len(rest) - 1)] < wanted) & (low < high)
+        low, high = np.where(less, middle + 1, low), np.where(less, high, np.minimum(high, middle))
+    return np.where((low < end) & (rest[np.minimum(low, len(rest) - 1)] == wanted), low, -1)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _packed(ids: list[np.ndarray], values: list[np.ndarray]) -> bytes:
+    """Sorted n-grams with their numbers, compressed: each word as the step from the n-gram before if the words before it are the same."""
+    head, parts = np.arange(len(ids[0])) == 0, []
+    for c in ids:
+        step = np.diff(c, prepend=c[:1])
+        parts.append(_planes(np.where(head, c, step)))
+        head = head | (step != 0)
+    parts += [_planes(v.astype(np.uint64)) for v in values]
+    return np.int64(len(ids[0])).tobytes() + _PACKED.compress(b"".join(parts), asbytes=True)
+
+
+def _unpacked(blob, n: int, many: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    rows = int(np.frombuffer(blob, np.int64, 1)[0])
+    raw = np.frombuffer(_PACKED.decompress(memoryview(blob)[8:], rows * (4 * n + 8 * many)), np.uint8)
+    head, ids, at = np.arange(rows) == 0, [], 0
+    for _ in range(n):
+        step = np.ascontiguousarray(raw[at : at + 4 * rows].reshape(4, rows).T).view(np.uint32).reshape(rows)
+        at += 4 * rows
+        total, heads = np.cumsum(step, dtype=np.uint32), np.flatnonzero(head)
+        column = total - np.repeat(total[heads] - step[heads], np.diff(np.append(heads, rows)))
+        head = head | (np.diff(column, prepend=column[:1]) != 0)
+        ids.append(column)
+    values = [np.ascontiguousarray(raw[at + 8 * rows * i : at + 8 * rows * (i + 1)].reshape(8, rows).T).view(np.int64).reshape(rows) for i in range(many)]
+    return ids, values
 
 
 @dataclass
@@ -30,7 +137,6 @@ class KneserNey:
     tokens: int = 0
     order: int = 2
     discounts: dict[int, tuple[float, float, float]] = field(default_factory=dict)
-    unigram_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
     unigram_total: int = 0
     unigram_left: float = 1.0
 
@@ -38,45 +144,41 @@ class KneserNey:
     def types(self) -> int:
         return int(self.bases[-1])
 
+    def opened(self, name: str, bucket: int) -> list[np.ndarray]:
+        return open_array(self.folder, f"{name}-{bucket}", _unbundle)
+
     def lookup(self, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, count) of sorted hashes; unknown ones have the id ``types`` and the count 0."""
         ids, counts = np.full(len(unique), self.types, np.int64), np.zeros(len(unique), np.int64)
         for b, own in _by_bucket(unique >> np.uint64(64 - self.bits)):
-            hashes = open_array(self.folder, f"words-{b}")
+            hashes, *coded = self.opened("words", b)
             if not len(hashes):
                 continue
             at = np.minimum(np.searchsorted(hashes, unique[own]), len(hashes) - 1)
             hit = hashes[at] == unique[own]
             ids[own] = np.where(hit, self.bases[b] + at, self.types)
-            counts[own] = np.where(hit, open_array(self.folder, f"counts-{b}")[at], 0)
+            counts[own] = np.where(hit, _decoded(*coded, at)[:, 0], 0)
         return ids, counts
 
-    def find(self, keys: np.ndarray, index: str, values: str) -> np.ndarray:
-        """Rows of ``values`` for the keys that ``index`` holds, in buckets by hash; zeros for others."""
-        bucket = mix(keys) >> np.uint64(64 - self.bits)
-        order = np.argsort(bucket, kind="stable")
-        out = np.zeros((len(keys), 4) if values.startswith("sums") else len(keys), np.int64)
-        for b, own in _by_bucket(bucket[order]):
-            rows, stored = order[own], open_array(self.folder, f"{index}-{b}")
-            if len(stored):
-                at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
-                hit = stored[at] == keys[rows]
-                out[rows[hit]] = open_array(self.folder, f"{values}-{b}")[at[hit]]
-        return out
+    def find(self, hashes: np.ndarray, n: int) -> np.ndarray:
+        """The numbers of the n-grams with these sorted hashes; zeros for those that training never saw.
 
-    def ranged(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """Rows of a table by word id; ids are sorted and known."""
-        out = np.zeros((len(ids), 4 if name == "contexts" else 1), np.int64)
-        width = _width(self.types, self.bits)
-        for b, own in _by_bucket(ids // width):
-            out[own] = open_array(self.folder, f"{name}-{b}")[ids[own] - b * width]
+        First how often it is seen (below the highest order: after how many different words); then, below the highest order,
+        what follows it: tokens, and types by count.
+        """
+        out = np.zeros((len(hashes), 1 if n == self.order else 5), np.int64)
+        for b, own in _by_bucket(hashes >> np.uint64(64 - self.bits)):
+            starts, rest, *coded = self.opened(f"grams{n}", b)
+            if not len(rest):
+                continue
+            at = _place(starts, rest, hashes[own], self.bits)
+            hit = np.flatnonzero(at >= 0)
+            for i in range(0, len(coded), 4):
+                found = _decoded(*coded[i : i + 4], at[hit])
+                out[own.start + hit, i // 4 : i // 4 + found.shape[1]] = found
         return out
 
 
-def _width(types: int, bits: int) -> int:
-    return -(-max(types, 1) // (1 << bits))
-
-
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(bucket, slice) for buckets in order."""
     if len(bucket):
@@ -141,8 +243,7 @@ def _store_words(folder: str):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = _summed(_joined(table, "c0", np.uint64), _joined(table, "c1", np.uint64))
-        save_array(folder, f"words-{bucket}", keys)
-        save_array(folder, f"counts-{bucket}", counts)
+        save_array(folder, f"words-{bucket}", _bundle([keys, *_coded(counts.astype(np.int64)[:, None])]))
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "size": [len(keys)], "tokens": [int(counts.sum())]})
 
     return run
@@ -160,27 +261,39 @@ def _history(model: KneserNey, ids: np.ndarray, end: int, bounds: np.ndarray) ->
     return [np.where(at - j >= begin, ids[np.maximum(at - j, 0)], end).astype(np.uint32) for j in range(model.order - 1, -1, -1)]
 
 
-def _key(columns: list[np.ndarray]) -> np.ndarray:
-    """One word or two as they are; a 64-bit print of more."""
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of n-grams; no two of one or two words share one."""
     key = columns[0].astype(np.uint64)
     for i, column in enumerate(columns[1:]):
         key = (key << np.uint64(32)) | column if i == 0 else mix(mix(key) + column.astype(np.uint64))
-    return key
+    return mix(key)
 
 
-def _merged(columns: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Distinct n-grams by key, their columns and the sums of their counts."""
-    keys = _key(columns)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    counts = np.add.reduceat(counts[order].astype(np.int64), heads) if len(keys) else counts.astype(np.int64)
-    return keys[heads], [c[order[heads]] for c in columns], counts
+def _merged(ids: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct n-grams in the order of their words, and the sums of their values."""
+    if not len(ids[0]):
+        return ids, values
+    keys = [c.astype(np.uint64) << np.uint64(32) | (ids[i + 1] if i + 1 < len(ids) else np.uint32(0)) for i, c in enumerate(ids) if i % 2 == 0]
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    heads = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+    return [c[order[heads]] for c in ids], [np.add.reduceat(v[order], heads) for v in values]
+
+
+def _dealt(model: KneserNey, name: str, ids: list[np.ndarray], values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row a bucket: its n-grams, dealt by the hash of all words, as ``name``."""
+    bucket = _hash(ids) >> np.uint64(64 - model.bits)
+    order = np.argsort(bucket, kind="stable")
+    ids, values = [c[order] for c in ids], [v[order] for v in values]
+    rows = [(b, _packed([c[own] for c in ids], [v[own] for v in values])) for b, own in _by_bucket(bucket[order])]
+    data = {name: pa.array([r for _, r in rows], pa.binary())}
+    empty = pa.nulls(len(rows), pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *(data.get(c, empty) for c in _SENT)], ["bucket", *_SENT])
 
 
-def _dealt(model: KneserNey, keys: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    bucket = mix(keys) >> np.uint64(64 - model.bits)
-    return _blobs(bucket, columns, np.argsort(bucket, kind="stable"))
+#: What a task sends for a bucket: n-grams with counts, or with sums over what follows them.
+_SENT = ("grams", "contexts")
+_ROW = "bucket int, grams binary, contexts binary"
 
 
 def _count_grams(model: KneserNey):
@@ -188,115 +301,60 @@ def _count_grams(model: KneserNey):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[list[np.ndarray], np.ndarray]] = []
-        join = lambda: _merged([np.concatenate(c) for c in zip(*(g for g, _ in held))], np.concatenate([n for _, n in held]))
+        join = lambda: _merged([np.concatenate(c) for c in zip(*(g for g, _ in held))], [np.concatenate([n for _, n in held])])
         for batch in slices(batches, "text"):
             hashed, bounds = _tokens(batch)
             ids, _ = _ids(model, np.concatenate([[END_HASH], hashed]))
-            columns = _history(model, ids[1:], int(ids[0]), bounds)
-            held.append(_merged(columns, np.ones(len(hashed), np.int64))[1:])
+            held.append((_history(model, ids[1:], int(ids[0]), bounds), np.ones(len(hashed), np.int64)))
             if sum(len(n) for _, n in held) > _HELD:
-                keys, columns, counts = join()
-                held = [(columns, counts)]
-                if len(keys) > _HELD // 2:
-                    yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
+                columns, counts = join()
+                held = [(columns, counts[0])]
+                if len(counts[0]) > _HELD // 2:
+                    yield from _dealt(model, "grams", columns, counts)
                     held = []
         if held:
-            keys, columns, counts = join()
-            yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
+            yield from _dealt(model, "grams", *join())
 
     return run
 
 
-def _store_grams(model: KneserNey, n: int):
-    """A bucket of n-grams; the columns of three words or more are kept for the order below."""
+def _store_grams(model: KneserNey, n: int, passed: str):
+    """A bucket of n-grams, which is also passed on to the order below."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        keys, columns, counts = _merged([_joined(table, f"c{i}", np.uint32) for i in range(n)], _joined(table, f"c{n}", np.uint32))
-        save_array(model.folder, f"grams{n}-{bucket}", keys)
-        save_array(model.folder, f"counts{n}-{bucket}", counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64))
-        if n > 2:
-            save_array(model.folder, f"columns{n}-{bucket}", np.array(columns, np.uint32))
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)}})
+        sent = {name: [_unpacked(v.as_buffer(), n, many) for chunk in table.column(name).chunks for v in chunk if v.is_valid] for name, many in zip(_SENT, (1, 4))}
+        ids = [np.concatenate(c) for c in zip(*(g for rows in sent.values() for g, _ in rows))]
+        values = []
+        for i in range(1 if n == model.order else 5):
+            # a row tells of what precedes an n-gram or of what follows it
+            seen = [v[0] if i == 0 else np.zeros(len(v[0]), np.int64) for _, v in sent["grams"]]
+            values.append(np.concatenate(seen + [v[i - 1] if i else np.zeros(len(v[0]), np.int64) for _, v in sent["contexts"]]))
+        ids, values = _merged(ids, values)
+        counts = values[0]
+        if n > 1:
+            own = counts > 0
+            save_array(passed, f"grams-{bucket}", np.frombuffer(_packed([c[own] for c in ids], [counts[own]]), np.uint8))
+        hashes = _hash(ids)
+        order = np.argsort(hashes)
+        coded = [_coded(np.stack(part, 1)[order]) for part in (values[:1], values[1:]) if part]
+        save_array(model.folder, f"grams{n}-{bucket}", _bundle([*_paged(hashes[order], model.bits), *(a for c in coded for a in c)]))
+        told = {f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)} | {"more": [int((counts > 2).sum())], "total": [int(counts.sum())]}
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), **told})
 
     return run
 
 
-def _lower_grams(model: KneserNey, n: int):
-    """From n-grams: each one without its first word, to be counted by what precedes it."""
+def _shorter(model: KneserNey, n: int, passed: str):
+    """From n-grams: each without its first word, counted by what precedes it, and each without its last, with sums over what follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket in batch.column("bucket").to_pylist():
-                stored = np.asarray(open_array(model.folder, f"columns{n}-{bucket}"))
-                keys, columns, counts = _merged(list(stored[1:]), np.ones(stored.shape[1], np.int64))
-                if len(keys):
-                    yield _dealt(model, keys, [*columns, counts.astype(np.uint32)])
-
-    return run
-
-
-def _count_contexts(model: KneserNey, n: int):
-    """From n-grams: what follows each context of n - 1 words, as tokens and as types by count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket in batch.column("bucket").to_pylist():
-                stored, counts = np.asarray(open_array(model.folder, f"columns{n}-{bucket}")), np.asarray(open_array(model.folder, f"counts{n}-{bucket}"), np.int64)
-                keys, *sums = _summed(_key(list(stored[:-1])), counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64))
-                if len(keys):
-                    yield _dealt(model, keys, [keys, *(s.astype(np.uint32) for s in sums)])
-
-    return run
-
-
-def _store_contexts(model: KneserNey, n: int):
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        keys, *sums = _summed(_joined(table, "c0", np.uint64), *(_joined(table, f"c{i}", np.uint32).astype(np.int64) for i in (1, 2, 3, 4)))
-        save_array(model.folder, f"contexts{n}-{bucket}", keys)
-        sums = np.stack(sums, 1)
-        save_array(model.folder, f"sums{n}-{bucket}", sums.astype(np.uint32 if sums.max(initial=0) < 1 << 32 else np.int64))
-        return pa.table({"bucket": pa.array([bucket], pa.int32())})
-
-    return run
-
-
-def _count_words_around(model: KneserNey):
-    """From pairs: what follows each word (tokens and types by count) and how many types precede it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _width(model.types, model.bits)
-        for batch in batches:
-            for bucket in batch.column("bucket").to_pylist():
-                keys, counts = open_array(model.folder, f"grams2-{bucket}"), np.asarray(open_array(model.folder, f"counts2-{bucket}"), np.int64)
-                if not len(keys):
-                    continue
-                ids, *sums = _summed((keys >> np.uint64(32)).astype(np.int64), counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64))
-                after = [ids.astype(np.uint32), *(s.astype(np.uint32) for s in sums)]
-                found, many = np.unique((keys & _LOW).astype(np.int64), return_counts=True)
-                zero = np.zeros(0, np.uint32)
-                left = _blobs(ids // width, after)
-                right = _blobs(found // width, [found.astype(np.uint32), many.astype(np.uint32)])
-                yield pa.RecordBatch.from_arrays([*left.columns, *[pa.array([zero.tobytes()] * left.num_rows, pa.binary())] * 2], ["bucket", *(f"c{i}" for i in range(7))])
-                yield pa.RecordBatch.from_arrays([right.columns[0], *[pa.array([zero.tobytes()] * right.num_rows, pa.binary())] * 5, *right.columns[1:]], ["bucket", *(f"c{i}" for i in range(7))])
-
-    return run
-
-
-def _store_words_around(model: KneserNey):
-    def run(table: pa.Table) -> pa.Table:
-        bucket, width = table.column("bucket")[0].as_py(), _width(model.types, model.bits)
-        contexts, before = np.zeros((width, 4), np.int64), np.zeros((width, 1), np.int64)
-        ids, *sums = _summed(_joined(table, "c0", np.uint32).astype(np.int64), *(_joined(table, f"c{i}", np.uint32).astype(np.int64) for i in (1, 2, 3, 4)))
-        for i, s in enumerate(sums):
-            contexts[ids - bucket * width, i] = s
-        ids, many = _summed(_joined(table, "c5", np.uint32).astype(np.int64), _joined(table, "c6", np.uint32).astype(np.int64))
-        before[ids - bucket * width, 0] = many
-        save_array(model.folder, f"contexts-{bucket}", contexts)
-        save_array(model.folder, f"before-{bucket}", before)
-        of = lambda test: [int(test.sum())]
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), **{f"n{i}": of(many == i) for i in (1, 2, 3, 4)}, "more": of(many > 2), "total": [int(many.sum())]})
+                ids, (counts,) = _unpacked(np.asarray(open_array(passed, f"grams-{bucket}")), n, 1)
+                if len(counts):
+                    yield from _dealt(model, "grams", *_merged(ids[1:], [np.ones(len(counts), np.int64)]))
+                    yield from _dealt(model, "contexts", *_merged(ids[:-1], [counts, *((counts == i).astype(np.int64) for i in (1, 2)), (counts > 2).astype(np.int64)]))
 
     return run
 
@@ -313,21 +371,29 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 def train(docs: DataFrame, order: int = 3) -> KneserNey:
     """Count a model of ``order`` words, 2 or more, over all whole texts of ``docs``.
 
-    Tasks combine the counts of their texts and send them as sorted arrays, one a bucket of the hash range; words first, then
-    n-grams of word ids, then from each order the one below, counted by what precedes, and sums over n-grams by context. Each bucket is merged, sorted and written by one task into the
+    Tasks combine the counts of their texts and send them sorted and compressed, one row a bucket of the hash range; words first, then
+    n-grams of word ids, then from each order the one below: its n-grams counted by what precedes them, and sums over what follows
+    them. Each bucket is merged, sorted and written by one task into the
     session's shared folder; the number of buckets follows the bytes of text, so a bucket stays small, and since n-grams
-    are dealt by the hash of all their words a frequent word fills no bucket. The driver sees a few numbers a bucket. A
+    are dealt by the hash of all their words a frequent word fills no bucket. What an order passes to the one below, and the
+    shuffle files of each step, are removed when the step ends. The driver sees a few numbers a bucket. A
     repeated task writes the same files. Null text counts as empty, a text of one end token; an empty table gives a model
     that knows nothing.
     """
     if order < 2:
         raise ValueError("the order is 2 or more")
+    with shuffles_removed(docs.sparkSession):
+        return _train(docs, order)
+
+
+def _train(docs: DataFrame, order: int) -> KneserNey:
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(5, (size // _FILE_BYTES).bit_length())
-    model = KneserNey(shared_folder(docs.sparkSession, "kneser-ney"), bits, order=order)
-    blobs = lambda n: "bucket int, " + ", ".join(f"c{i} binary" for i in range(n))
+    spark = docs.sparkSession
+    model = KneserNey(shared_folder(spark, "kneser-ney"), bits, order=order)
     texts, buckets = docs.select("text"), 1 << bits
-    stored = texts.mapInArrow(_count_words(bits), blobs(2)).groupBy("bucket").applyInArrow(_store_words(model.folder), "bucket int, size long, tokens long").collect()
+    stored = texts.mapInArrow(_count_words(bits), "bucket int, c0 binary, c1 binary").groupBy("bucket")
+    stored = stored.applyInArrow(_store_words(model.folder), "bucket int, size long, tokens long").collect()
     sizes = np.zeros(buckets, np.int64)
     for row in stored:
         sizes[row["bucket"]] = row["size"]
@@ -335,33 +401,28 @@ def train(docs: DataFrame, order: int = 3) -> KneserNey:
     if not stored:
         return model
     for b in np.flatnonzero(sizes == 0).tolist():
-        for name, kind in (("words", np.uint64), ("counts", np.uint64)):
-            save_array(model.folder, f"{name}-{b}", np.zeros(0, kind))
+        save_array(model.folder, f"words-{b}", _bundle([np.zeros(0, np.uint64), *_coded(np.zeros((0, 1), np.int64))]))
     model.bases = np.concatenate([[0], np.cumsum(sizes)])
     if model.types >= 1 << 32:
         raise ValueError("more than 2**32 different words")
-    counts = "n1 long, n2 long, n3 long, n4 long"
-    spark = docs.sparkSession
     files = spark.range(0, buckets, 1, buckets).select(F.col("id").cast("int").alias("bucket"))
-    for n in range(order, 1, -1):
-        rows = texts.mapInArrow(_count_grams(model), blobs(n + 1)) if n == order else files.mapInArrow(_lower_grams(model, n + 1), blobs(n + 1))
-        stored = rows.groupBy("bucket").applyInArrow(_store_grams(model, n), f"bucket int, {counts}").collect()
+    told, passed = "bucket int, n1 long, n2 long, n3 long, n4 long, more long, total long", ""
+    for n in range(order, 0, -1):
+        above, passed = passed, shared_folder(spark, "kneser-ney-passed")
+        rows = texts.mapInArrow(_count_grams(model), _ROW) if n == order else files.mapInArrow(_shorter(model, n + 1, above), _ROW)
+        stored = rows.groupBy("bucket").applyInArrow(_store_grams(model, n, passed), told).collect()
+        none = [np.zeros(0, np.uint32) for _ in range(n)]
         for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
-            save_array(model.folder, f"grams{n}-{b}", np.zeros(0, np.uint64))
-            save_array(model.folder, f"counts{n}-{b}", np.zeros(0, np.uint32))
-            save_array(model.folder, f"columns{n}-{b}", np.zeros((n, 0), np.uint32))
-        model.discounts[n] = _discounts([sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)])
-        if n > 2:
-            stored = files.mapInArrow(_count_contexts(model, n), blobs(5)).groupBy("bucket").applyInArrow(_store_contexts(model, n), "bucket int").collect()
-            for b in sorted(set(range(buckets)) - {r["bucket"] for r in stored}):
-                save_array(model.folder, f"contexts{n}-{b}", np.zeros(0, np.uint64))
-                save_array(model.folder, f"sums{n}-{b}", np.zeros((0, 4), np.uint32))
-    around = files.mapInArrow(_count_words_around(model), blobs(7)).groupBy("bucket")
-    stored = around.applyInArrow(_store_words_around(model), f"bucket int, {counts}, more long, total long").collect()
-    n = [sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)]
-    d = model.unigram_discounts = _discounts(n)
+            coded = [a for many in ((1,) if n == order else (1, 4)) for a in _coded(np.zeros((0, many), np.int64))]
+            save_array(model.folder, f"grams{n}-{b}", _bundle([*_paged(np.zeros(0, np.uint64), bits), *coded]))
+            if n > 1:
+                save_array(passed, f"grams-{b}", np.frombuffer(_packed(none, [np.zeros(0, np.int64)]), np.uint8))
+        if above:
+            remove_folder(spark, above)
+        many = [sum(r[f"n{i}"] for r in stored) for i in (1, 2, 3, 4)]
+        d = model.discounts[n] = _discounts(many)
     model.unigram_total = sum(r["total"] for r in stored)
-    model.unigram_left = (d[0] * n[0] + d[1] * n[1] + d[2] * sum(r["more"] for r in stored)) / model.unigram_total
+    model.unigram_left = (d[0] * many[0] + d[1] * many[1] + d[2] * sum(r["more"] for r in stored)) / model.unigram_total
     return model
 
 
@@ -376,33 +437,27 @@ def _left(sums: np.ndarray, d: tuple[float, float, float] | None) -> np.ndarray:
 
 def _scores(model: KneserNey):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SCORED_BYTES):
             hashed, bounds = _tokens(batch)
             unique, inverse = np.unique(np.concatenate([[END_HASH], hashed]), return_inverse=True)
             ids, counts = model.lookup(unique)
-            known = np.flatnonzero(ids < model.types)
-            before, contexts = np.zeros(len(ids), np.int64), np.zeros((len(ids), 4), np.int64)
-            if len(known):
-                order = known[np.argsort(ids[known])]
-                before[order], contexts[order] = model.ranged("before", ids[order])[:, 0], model.ranged("contexts", ids[order])
-            lower = model.unigram_left / (model.types + 1)
-            lower = lower + _discount(before, model.unigram_discounts) / max(model.unigram_total, 1)
-            total = contexts[:, 0]
-            left = _left(contexts, model.discounts.get(2))
-            own, after = inverse[:-1], inverse[1:]
-            columns = _history(model, ids[after], int(ids[inverse[0]]), bounds)
-            # the first token of a text follows an end, as every text ends with one
-            chance = lower[after]
-            for n in range(2, model.order + 1) if model.types else ():
-                asked, where = np.unique(_key(columns[-n:]), return_inverse=True)
-                seen = model.find(asked, f"grams{n}", f"counts{n}")[where]
-                if n == 2:
-                    sums, rest = total[own], left[own]
+            end, after = int(ids[inverse[0]]), inverse[1:]
+            columns = _history(model, ids[after], end, bounds)
+            chance = np.full(len(after), model.unigram_left / (model.types + 1))
+            first, sums = bounds[:-1], None
+            for n in range(1, model.order + 1) if model.types else ():
+                # the n-gram that ends at each token, and last the one of ends only, which precedes each text
+                ends = np.full(1, end, np.uint32)
+                asked, where = np.unique(_hash([np.concatenate([c, ends]) for c in columns[-n:]]), return_inverse=True)
+                found = model.find(asked, n)
+                seen = _discount(found[:, 0], model.discounts[n])[where[:-1]]
+                if n == 1:
+                    chance = chance + seen / model.unigram_total
                 else:
-                    asked, where = np.unique(_key(columns[-n:-1]), return_inverse=True)
-                    found = model.find(asked, f"contexts{n}", f"sums{n}")
-                    sums, rest = found[where, 0], _left(found, model.discounts[n])[where]
-                chance = _discount(seen, model.discounts[n]) / np.maximum(sums, 1) + rest * chance
+                    chance = seen / np.maximum(sums[:, 0], 1)[before] + _left(sums, model.discounts[n])[before] * chance
+                if n < model.order:
+                    sums, before = found[:, 1:], np.concatenate([where[-1:], where[:-2]])
+                    before[first] = where[-1]
             base = np.log10((counts + 0.1) / (model.tokens + 0.1 * (model.types + 1)))[after]
             sums = [np.add.reduceat(v, bounds[:-1]) for v in (np.log10(chance), base, (counts > 0).astype(np.int64)[after])]
             columns = [pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0])]
