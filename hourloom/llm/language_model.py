@@ -133,30 +133,32 @@ class KneserNey:
 
     folder: str
     bits: int
-    bases: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    types: int = 0
+    #: The id of words that training never saw, beyond all others.
+    unknown: int = 0
     tokens: int = 0
     order: int = 2
     discounts: dict[int, tuple[float, float, float]] = field(default_factory=dict)
     unigram_total: int = 0
     unigram_left: float = 1.0
 
-    @property
-    def types(self) -> int:
-        return int(self.bases[-1])
-
     def opened(self, name: str, bucket: int) -> list[np.ndarray]:
         return open_array(self.folder, f"{name}-{bucket}", _unbundle)
 
     def lookup(self, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(id, count) of sorted hashes; unknown ones have the id ``types`` and the count 0."""
-        ids, counts = np.full(len(unique), self.types, np.int64), np.zeros(len(unique), np.int64)
-        for b, own in _by_bucket(unique >> np.uint64(64 - self.bits)):
-            hashes, *coded = self.opened("words", b)
+        """(id, count) of sorted hashes; unknown ones have the id ``unknown`` and the count 0.
+
+        A word's id is its rank by count in its bucket times the number of buckets, plus the bucket: frequent words
+        have small ids, which pack well, and no step sees all words.
+        """
+        ids, counts = np.full(len(unique), self.unknown, np.int64), np.zeros(len(unique), np.int64)
+        for b, own in _by_bucket(unique >> np.uint64(64 - self.bits)) if self.types else ():
+            hashes, ranks, *coded = self.opened("words", b)
             if not len(hashes):
                 continue
             at = np.minimum(np.searchsorted(hashes, unique[own]), len(hashes) - 1)
             hit = hashes[at] == unique[own]
-            ids[own] = np.where(hit, self.bases[b] + at, self.types)
+            ids[own] = np.where(hit, (ranks[at].astype(np.int64) << self.bits) + b, self.unknown)
             counts[own] = np.where(hit, _decoded(*coded, at)[:, 0], 0)
         return ids, counts
 
@@ -243,7 +245,9 @@ def _store_words(folder: str):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = _summed(_joined(table, "c0", np.uint64), _joined(table, "c1", np.uint64))
-        save_array(folder, f"words-{bucket}", _bundle([keys, *_coded(counts.astype(np.int64)[:, None])]))
+        ranks = np.empty(len(keys), np.uint32)
+        ranks[np.argsort(-counts.astype(np.int64), kind="stable")] = np.arange(len(keys))
+        save_array(folder, f"words-{bucket}", _bundle([keys, ranks, *_coded(counts.astype(np.int64)[:, None])]))
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "size": [len(keys)], "tokens": [int(counts.sum())]})
 
     return run
@@ -401,10 +405,10 @@ def _train(docs: DataFrame, order: int) -> KneserNey:
     if not stored:
         return model
     for b in np.flatnonzero(sizes == 0).tolist():
-        save_array(model.folder, f"words-{b}", _bundle([np.zeros(0, np.uint64), *_coded(np.zeros((0, 1), np.int64))]))
-    model.bases = np.concatenate([[0], np.cumsum(sizes)])
-    if model.types >= 1 << 32:
-        raise ValueError("more than 2**32 different words")
+        save_array(model.folder, f"words-{b}", _bundle([np.zeros(0, np.uint64), np.zeros(0, np.uint32), *_coded(np.zeros((0, 1), np.int64))]))
+    model.types, model.unknown = int(sizes.sum()), int(sizes.max()) << bits
+    if model.unknown >= 1 << 32:
+        raise ValueError("ids of words pass 2**32")
     files = spark.range(0, buckets, 1, buckets).select(F.col("id").cast("int").alias("bucket"))
     told, passed = "bucket int, n1 long, n2 long, n3 long, n4 long, more long, total long", ""
     for n in range(order, 0, -1):

@@ -56,6 +56,21 @@ def test_pages_find_what_they_hold(rows, bits):
         assert (lm._place(starts, rest, other, bits) == -1).all()
 
 
+def test_a_model_of_nothing_knows_nothing(spark):
+    docs = spark.createDataFrame([(1, "two words"), (2, None)], "doc_id long, text string")
+    got = lm.score(docs, lm.train(docs.where("doc_id > 2"))).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.n_known, r.base_score, r.score) for r in got] == [(3, 0, 0.0, 0.0), (1, 0, 0.0, 0.0)]
+
+
+def test_frequent_words_have_small_ids(spark):
+    docs = spark.createDataFrame([(i, f"often {'some' if i % 4 else ''} w{i}") for i in range(200)], "doc_id long, text string")
+    model = lm.train(docs)
+    hashed = np.unique(lm._tokens(docs.selectExpr("text").toArrow().combine_chunks().to_batches()[0])[0])
+    ids, counts = model.lookup(hashed)
+    assert len(np.unique(ids)) == len(ids) == model.types == 203 and ids.max() < model.unknown
+    assert sorted(counts.tolist())[-3:] == [150, 200, 200] and ids[counts > 1].max() < 3 << model.bits
+
+
 def test_shuffle_files_go_with_their_query(spark, tmp_path):
     from hourloom.llm.common import shuffles_removed
 
