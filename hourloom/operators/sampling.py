@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourloom.functions.scalar import key_fraction, key_hash
 from hourloom.operators.quantiles import order_statistics
-from hourloom.session import durable, is_small
+from hourloom.session import durable, is_small, stored
 
 SEED = 42
 
@@ -39,11 +39,13 @@ def sample_exact(
     """The ``n`` rows with the smallest key hash (or ``score``, where it is not null); all of them if there are fewer.
 
     The hash of the last row wanted is found by counting, so only ``n`` rows and those that tie with the last one
-    are ordered.  ``df`` is read four times: store it first if it is costly.
+    are ordered.  ``df`` is read twice, once for the scores alone, which are stored for the counts: three counts over ``df``
+    itself would each compute it, and inline the score some dozens of times.
     """
     keys = list(keys)
     scored = df.withColumn("__score", score if score is not None else key_hash(seed, *keys))
-    last = order_statistics(scored, "__score", F.filter(F.array(F.least(F.col("n"), F.lit(n)) - 1), lambda r: r >= 0))
+    scores = stored(scored.select("__score"), "scores")
+    last = order_statistics(scores, "__score", F.filter(F.array(F.least(F.col("n"), F.lit(n)) - 1), lambda r: r >= 0))
     return scored.where(F.col("__score") <= last.select("__score").scalar()).orderBy("__score", *keys).limit(n).drop("__score")
 
 

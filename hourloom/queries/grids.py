@@ -4,12 +4,12 @@
 * ``shipment_grid``: ``lineitem`` by supplier and hour; sparse, many series, several years.
 * ``step_grid``: ``lineitem`` by supplier and day, one day being one hourly step.
 
-Values have two decimals, so sums of DECIMALs are exact and equal in any order.
+Values are cut to two decimals, so sums of cents are exact and equal in any order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions.scalar import calendar_columns
@@ -28,16 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A sum of cents is two BIGINTs, of whole multiples of this and of what is left: exact like a sum of DECIMALs, which on 28 digits
+#: costs many times as much. Sums up to these bounds become doubles by one division of whole numbers below 2^53.
+_BASE = 1 << 30
+_MOST_HIGH, _MOST_LOW = 1 << 17, 1 << 47
+
+
+def _sums(name: str, cents: str) -> list[Column]:
+    return [F.expr(f"sum({cents.format(part)})").alias(f"{name}_{end}") for part, end in ((f"cents DIV {_BASE}", "high"), (f"cents % {_BASE}", "low"))]
+
+
 def _cells(rows: DataFrame, key: str, hour: str, value: str, fuel: str) -> DataFrame:
     amount = _AMOUNT.format(value=value)
-    return rows.groupBy(F.expr(key).alias("ba"), F.expr(hour).alias("ts")).agg(
-        F.count("*").alias("n"),
-        F.expr(f"sum({amount})").alias("net"),
-        *[
-            F.expr(f"coalesce(sum(CASE WHEN {fuel} % 8 = {i} THEN {amount} END), 0)").alias(f)
-            for i, f in enumerate(FUELS)
-        ],
-    )
+    cut = rows.selectExpr(f"{key} AS ba", f"{hour} AS ts", f"CAST({amount} * 100 AS BIGINT) AS cents", f"{fuel} % 8 AS fuel")
+    fuels = [F.coalesce(total, F.lit(0)).alias(f"{f}_{end}") for i, f in enumerate(FUELS) for total, end in zip(_sums(f, f"CASE WHEN fuel = {i} THEN {{}} END"), ("high", "low"))]
+    return cut.groupBy("ba", "ts").agg(F.count("*").alias("n"), *_sums("net", "{}"), *fuels)
+
+
+def _double(unit: str, **times: int) -> str:
+    """The nearest double to a sum of columns, each taken so many times, in units of ``0.01`` or ``0.001``."""
+    small = " AND ".join(f"abs({c}_high) <= {_MOST_HIGH} AND abs({c}_low) <= {_MOST_LOW}" for c in times)
+    whole = " + ".join(f"{k} * ({c}_high * {_BASE} + {c}_low)" for c, k in times.items())
+    wide = " + ".join(f"{k} * (CAST({c}_high AS DECIMAL(19,0)) * {_BASE} + CAST({c}_low AS DECIMAL(19,0)))" for c, k in times.items())
+    return f"CASE WHEN {small} THEN ({whole}) / {round(1 / float(unit))}D ELSE CAST(({wide}) * {unit} AS DOUBLE) END"
 
 
 def _signals(cells: DataFrame, least_rows: int) -> DataFrame:
@@ -45,10 +58,10 @@ def _signals(cells: DataFrame, least_rows: int) -> DataFrame:
         "ba",
         "ts",
         F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ts_unix"),
-        F.expr(f"CAST(CASE WHEN n >= {least_rows} THEN net + 0.2 * other - 0.2 * solar END AS DOUBLE)").alias("demand_mw"),
-        F.expr("CAST(net AS DOUBLE)").alias("net_gen_mw"),
-        F.expr("CAST(0.2 * solar - 0.2 * other AS DOUBLE)").alias("interchange_mw"),
-        *[F.col(f).cast("double").alias(f"{f}_mw") for f in FUELS],
+        F.expr(f"CASE WHEN n >= {least_rows} THEN {_double('0.001', net=10, other=2, solar=-2)} END").alias("demand_mw"),
+        F.expr(_double("0.01", net=1)).alias("net_gen_mw"),
+        F.expr(_double("0.001", solar=2, other=-2)).alias("interchange_mw"),
+        *[F.expr(_double("0.01", **{f: 1})).alias(f"{f}_mw") for f in FUELS],
     )
 
 

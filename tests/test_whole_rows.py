@@ -1,5 +1,7 @@
 """No row is lost and no number is made up: missing times, shared prefixes, odd number texts, pruned time ranges."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import functions as F
 
 from hourloom.functions.scalar import parse_number
@@ -8,6 +10,7 @@ from hourloom.operators.labels import entity_codes
 from hourloom.operators.reports import filter_time, histogram
 from hourloom.operators.sampling import sample_entities, sample_exact, sample_rows, split_by_key
 from hourloom.operators.windows import add_lags, hourly_grid
+from hourloom.queries.grids import _cells, _signals
 
 
 def test_rows_without_a_time_stay(spark, panel):
@@ -63,3 +66,19 @@ def test_samples_and_splits_by_a_score(spark):
     train, held = split_by_key(df, 0.35, score=F.col("s"))
     assert held.count() == 4 and train.count() == 6
     assert sample_rows(df, 0.2, score=F.col("s")).count() == sample_entities(df, 0.2, score=F.col("s")).count() == 2
+
+
+def test_exact_sample_counts_stored_scores(spark):
+    df = spark.range(100).selectExpr("concat('s', id % 3) AS ba", "id AS ts_unix", "1 AS v").groupBy("ba", "ts_unix").count()
+    plan = sample_exact(df, 40, score=F.expr("ts_unix * 7 % 31"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [ba") == 1
+
+
+def test_cells_are_exact_sums_of_any_size(spark):
+    values = [0.1, 0.2, -0.35, 1.005, 9e13, 9e13, -1e-9, None, 12345678901.25]
+    rows = [("a", 8 * i, v) for i, v in enumerate(values)] + [("b", 8, None), ("c", 15, 0.07), ("c", None, 0.2)]
+    cells = _cells(spark.createDataFrame(rows, "k string, u bigint, v double"), "k", "1", "v", "u")
+    got = {r.ba: (r.net_gen_mw, r.solar_mw, r.other_mw, r.demand_mw) for r in _signals(cells.withColumn("ts", F.lit("2024-01-01")), 1).collect()}
+    cents = sum((Decimal(repr(v)).quantize(Decimal("0.01"), ROUND_HALF_UP) for v in values if v is not None), Decimal(0))
+    assert got["a"] == (float(cents), float(cents), 0.0, float(cents - cents * Decimal("0.2")))
+    assert got["b"] == (None, 0.0, 0.0, None) and got["c"] == (0.27, 0.0, 0.07, 0.284)
