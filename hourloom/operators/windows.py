@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourloom.functions import schema as S
 from hourloom.operators.labels import add_labels
-from hourloom.operators.neighbours import BLOCK_DAYS, HOME, IN_BLOCK, SERIES, TIME, over_series, with_neighbours
+from hourloom.operators.neighbours import BLOCK, BLOCK_DAYS, HOME, IN_BLOCK, SERIES, TIME, over_series, with_neighbours
 
 HOUR = 3600
 
@@ -80,9 +83,89 @@ def add_lags(panel: DataFrame, mode: str = "row", block_days: int = BLOCK_DAYS)
     raise ValueError(f"mode must be 'row' or 'time', got {mode!r}")
 
 
-def add_rolling(panel: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:
-    reach = (max(S.ROLLING_HOURS.values()) - 1) * HOUR
-    return over_series(panel, rolling_columns(), back_seconds=reach, block_days=block_days)
+#: Values of windows laid side by side at once, for deviations; a window with more stands alone.
+_SIDE_BY_SIDE = 1 << 20
+
+
+def _deviations(values: np.ndarray, valid: np.ndarray, means: np.ndarray, counts: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Population deviation of every window around its own mean, so that no digits cancel."""
+    squares = np.empty(len(means))
+    upto = np.cumsum(sizes)
+    low = 0
+    while low < len(means):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] - sizes[low] + _SIDE_BY_SIDE, side="right")))
+        size = sizes[low:high]
+        begin = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(first[low:high] - begin, size)
+        off = np.where(valid[place], values[place] - np.repeat(means[low:high], size), 0.0)
+        squares[low:high] = np.add.reduceat(off * off, begin)
+        low = high
+    return np.sqrt(squares / counts)
+
+
+def _roll(signals: list[str], windows: dict[str, int], statistics: list[str]):
+    """Sorted whole blocks to the rows that are at home there, with the statistics of their windows.
+
+    Blocks of a batch are rolled side by side: their times are laid one after another, further apart than a window reaches.
+    """
+    reach = (max(windows.values()) - 1) * HOUR
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        series = rows[SERIES].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        block = rows[BLOCK].to_numpy()
+        return np.flatnonzero(np.append(True, (series[1:] != series[:-1]) | (block[1:] != block[:-1])))
+
+    def rolled(rows: pa.Table, begin: np.ndarray) -> pa.Table:
+        time = rows[TIME].fill_null(0).to_numpy()  # rows without a time have blocks of their own
+        sizes = np.diff(np.append(begin, len(time)))
+        time = time - np.repeat(time[begin], sizes)
+        time += np.repeat(np.arange(len(begin)) * (int(time.max()) + reach + 1), sizes)
+        found = {}
+        with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+            for label, hours in windows.items():
+                first = np.searchsorted(time, time - (hours - 1) * HOUR, side="left")
+                end = np.searchsorted(time, time, side="right")
+                ends = np.column_stack([first, end]).ravel()
+                for s in signals:
+                    column = rows[f"{s}_mw"].cast(pa.float64())
+                    valid, values = column.is_valid().to_numpy(), column.fill_null(0.0).to_numpy()
+                    counts = np.add.reduceat(np.append(valid, False).astype(np.int64), ends)[::2]
+                    means = np.add.reduceat(np.append(values, 0.0), ends)[::2] / counts
+                    found[s, label, "mean"] = pa.array(means, mask=counts == 0)
+                    if "std" in statistics:
+                        found[s, label, "std"] = pa.array(_deviations(values, valid, means, counts, first, end - first), mask=counts == 0)
+        for s, label, statistic in [(s, w, f) for w in windows for s in signals for f in statistics]:
+            rows = rows.append_column(S.rolling_name(s, label, statistic), found[s, label, statistic])
+        return rows.filter(rows[HOME]).drop_columns([BLOCK, HOME])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last block of a batch may go on in the next one
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            if rows.num_rows:
+                begin = starts(rows)
+                rest = rows.slice(int(begin[-1]))
+                if len(begin) > 1:
+                    yield from rolled(rows.slice(0, int(begin[-1])), begin[:-1]).to_batches()
+        if rest is not None:
+            yield from rolled(rest, np.zeros(1, dtype=np.int64)).to_batches()
+
+    return run
+
+
+def add_rolling(panel: DataFrame, block_days: int = BLOCK_DAYS, statistics: Iterable[str] = ("mean", "std")) -> DataFrame:
+    """The rolling ``statistics`` of :func:`rolling_columns`.
+
+    A window frame goes over all its rows anew for every row, value by value; here numpy adds up the rows of each
+    frame, in blocks that Spark deals.
+    """
+    statistics, reach = list(statistics), (max(S.ROLLING_HOURS.values()) - 1) * HOUR
+    names = [S.rolling_name(s, w, f) for w in S.ROLLING_HOURS for s in S.HISTORY_SIGNALS for f in statistics]
+    schema = T.StructType([*panel.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    reached = with_neighbours(panel, back_seconds=reach, block_days=block_days)
+    dealt = reached.repartition(SERIES, BLOCK).sortWithinPartitions(SERIES, BLOCK, TIME)
+    return dealt.mapInArrow(_roll(list(S.HISTORY_SIGNALS), S.ROLLING_HOURS, statistics), schema)
 
 
 def add_leads(panel: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:

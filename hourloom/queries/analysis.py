@@ -54,6 +54,11 @@ def _some_lags(lagged: DataFrame) -> DataFrame:
     )
 
 
+def _steps(spark: SparkSession, sf_dir: str, signals: tuple[str, ...] = S.HISTORY_SIGNALS) -> DataFrame:
+    """The step grid with these signals only: windows keep every column of a panel alive, also those nobody reads later."""
+    return step_grid(spark, sf_dir).select("ba", "ts_unix", *[f"{s}_mw" for s in signals])
+
+
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_LAGS_SQL}, {r4_sql(_total_sql(_ALL_LAGS_SQL))} AS all_lags FROM panel")
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _some_lags(add_lags(step_grid(spark, sf_dir), block_days=20))
@@ -86,12 +91,12 @@ def _rolled_sql(statistic: str, function: str) -> str:
 
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_rolled_sql('mean', 'avg')} FROM panel")
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_rolling(step_grid(spark, sf_dir)).select("ba", "ts_unix", *[r4(c).alias(c) for c in _rolled("mean")])
+    return add_rolling(_steps(spark, sf_dir), statistics=["mean"]).select("ba", "ts_unix", *[r4(c).alias(c) for c in _rolled("mean")])
 
 
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_rolled_sql('std', 'stddev_pop')} FROM panel")
 def rolling_std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_rolling(step_grid(spark, sf_dir)).select("ba", "ts_unix", *[r4(c).alias(c) for c in _rolled("std")])
+    return add_rolling(_steps(spark, sf_dir), statistics=["std"]).select("ba", "ts_unix", *[r4(c).alias(c) for c in _rolled("std")])
 
 
 @query(EVENT_SQL + f" SELECT ba, ts_unix, {_rolled_sql('mean', 'avg')}, {_rolled_sql('std', 'stddev_pop')} FROM panel")

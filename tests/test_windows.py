@@ -3,8 +3,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hourloom.functions import schema as S
-from hourloom.operators.neighbours import BLOCK, HOME, SERIES, with_neighbours
-from hourloom.operators.windows import add_lags, add_leads, add_rolling, feature_table, hourly_grid, sequences
+from hourloom.operators.neighbours import BLOCK, HOME, SERIES, over_series, with_neighbours
+from hourloom.operators.windows import add_lags, add_leads, add_rolling, feature_table, hourly_grid, rolling_columns, sequences
+from hourloom.queries.analysis import _steps
 
 
 def _same(a, b):
@@ -124,3 +125,28 @@ def test_unused_columns_are_not_computed(spark, panel):
     assert plan.count("avg(") == 1 and "stddev" not in plan and "lead(" not in plan.split("Window [")[1]
     assert plan.count("try_element_at") == 1 or "__history" in plan
     assert "demand_mw" not in plan.split("Window [")[-1].split("Exchange hashpartitioning(ba")[0]
+
+
+def test_rolling_in_blocks_equals_window_frames_over_many_batches(spark, panel):
+    spike = panel.withColumn("wind_mw", F.when(F.col("ts_unix") % 97 == 0, 1e5).otherwise(F.col("wind_mw")))
+    alone = spike.limit(2).withColumn("ts_unix", F.lit(None).cast("long"))
+    whole = spike.unionByName(alone).unionByName(spike.limit(5).withColumn("ba", F.lit(None).cast("string")))
+    expected = over_series(whole, rolling_columns(), back_seconds=167 * 3600, block_days=3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        built = add_rolling(whole, block_days=3)
+        ordered = [sorted((tuple(r) for r in df.select(*expected.columns).collect()), key=lambda r: tuple(map(str, r[: len(panel.columns)]))) for df in (built, expected)]
+        assert len(ordered[0]) == len(ordered[1]) == whole.count()
+        for ours, theirs in zip(*ordered):
+            assert [x is None for x in ours] == [x is None for x in theirs]
+            assert all(x == y or abs(x - y) <= 1e-6 + 1e-9 * abs(y) for x, y in zip(ours, theirs) if x is not None)
+        assert "Window [" not in _plan(built) and built.columns == expected.columns
+        assert "solar_roll6h_std" not in add_rolling(whole, statistics=["mean"]).columns
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_leads_of_steps_sum_no_other_signals(spark):
+    plan = _steps(spark, "/root/testdata/sf0.001", S.LEAD_SIGNALS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "solar_high" in plan and "coal_high" not in plan and "net_high" not in plan
