@@ -14,7 +14,7 @@ from hourloom.operators.windows import add_lags, add_leads, add_rolling, feature
 from hourloom.plans.anomaly import signal_scales, standardise
 from hourloom.queries.grids import EVENT_SQL, SHIPMENT_SQL, STEP_SQL, event_grid, shipment_grid, step_grid
 from hourloom.queries.registry import query, r4, r4_sql
-from hourloom.session import durable
+from hourloom.session import durable, stored
 
 # -- windows ---------------------------------------------------------------------------------
 # Short blocks here, so that the checks cross many block borders.
@@ -61,7 +61,7 @@ def _steps(spark: SparkSession, sf_dir: str, signals: tuple[str, ...] = S.HISTOR
 
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_LAGS_SQL}, {r4_sql(_total_sql(_ALL_LAGS_SQL))} AS all_lags FROM panel")
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _some_lags(add_lags(step_grid(spark, sf_dir), block_days=20))
+    return _some_lags(add_lags(stored(_steps(spark, sf_dir), "steps"), block_days=20))
 
 
 def _lag_at_sql(s: str, h: int) -> str:
@@ -74,7 +74,7 @@ _ALL_LAGS_AT_SQL = _total_sql([_lag_at_sql(s, h) for s in S.HISTORY_SIGNALS for
 
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_LAGS_AT_SQL}, {r4_sql(_ALL_LAGS_AT_SQL)} AS all_lags FROM panel")
 def lag_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _some_lags(add_lags(step_grid(spark, sf_dir), mode="time", block_days=20))
+    return _some_lags(add_lags(_steps(spark, sf_dir), mode="time", block_days=20))
 
 
 def _rolled(statistic: str) -> list[str]:
@@ -111,7 +111,7 @@ _LEADS_SQL = ", ".join(f"{_lead_sql(s, h)} AS {S.lead_name(s, h)}" for h in S.LE
 
 @query(STEP_SQL + f" SELECT ba, ts_unix, {_LEADS_SQL} FROM panel")
 def lead_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_leads(step_grid(spark, sf_dir), block_days=20).select("ba", "ts_unix", *S.LEAD_COLUMNS)
+    return add_leads(stored(_steps(spark, sf_dir, S.LEAD_SIGNALS), "steps"), block_days=20).select("ba", "ts_unix", *S.LEAD_COLUMNS)
 
 
 _ALL_ROLLS_SQL = [
