@@ -1,9 +1,10 @@
 """Gradient boosting round by round with MLlib trees: stops with patience, and can go on from where it ended.
 
 MLlib boosts a fixed number of rounds, two classes only, and cannot start from an earlier model. Here every round fits
-one MLlib regression tree for each output on the gradient of a loss that all outputs share. Predictions so far (margins)
-travel with the rows and are stored every few rounds, so neither plan nor recomputation grows with the rounds. What
-comes out are MLlib's own boosted models, one for each output.
+one MLlib regression tree for each output on the gradient of a loss that all outputs share. The rows are stored once.
+Predictions so far (margins) lie beside them in memory, anew every few rounds; those of the few trees since then are one
+more expression, so the plan does not grow with the rounds and no round copies the features. What comes out are MLlib's
+own boosted models, one for each output.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressor
@@ -40,7 +40,7 @@ class BoostSettings:
     share_of_rows: float = 0.8
     share_of_columns: float = 0.8
     seed: int = SEED
-    #: Rounds after which the margins are stored.
+    #: Rounds after which the margins are kept anew.
     stored_every: int = 10
 
 
@@ -164,10 +164,14 @@ def _margin(k: int) -> str:
     return f"__margin_{k}"
 
 
-def _grown(rows: DataFrame, trees: list[DecisionTreeRegressionModel], weight: float) -> DataFrame:
-    for k, tree in enumerate(trees):
-        stepped = tree.transform(rows, {tree.predictionCol: _STEP})
-        rows = stepped.withColumn(_margin(k), F.col(_margin(k)) + weight * F.col(_STEP)).drop(_STEP)
+def _grown(rows: DataFrame, state: Boosted, first: int, outputs: int) -> DataFrame:
+    """``rows`` with the margins after all rounds, from those after the ``first`` ones: one expression, however many trees follow."""
+    if first == len(state.rounds):
+        return rows
+    for k in range(outputs):
+        model = _boosted_model([r[k] for r in state.rounds[first:]], state.weights[first:])
+        stepped = model.transform(rows, {model.predictionCol: _STEP})
+        rows = stepped.withColumn(_margin(k), F.col(_margin(k)) + F.col(_STEP)).drop(_STEP)
     return rows
 
 
@@ -215,42 +219,25 @@ def boost(rows: DataFrame, label: str, loss, settings: BoostSettings, start: Boo
     """
     state = Boosted(settings.patience, list(start.rounds), list(start.weights), list(start.losses)) if start else Boosted(settings.patience)
     margins = [F.col(_margin(k)) for k in range(loss.outputs)]
-    table = rows.select(*KEYS, "features", F.col(label).alias(_LABEL), HELD_OUT)
-    if state.rounds:
-        for k, model in enumerate(state.models(len(state.rounds))):
-            table = model.transform(table, {model.predictionCol: _margin(k)})
-    else:
-        table = table.select("*", *[F.lit(0.0).alias(_margin(k)) for k in range(loss.outputs)])
-    few = rows.where(~F.col(HELD_OUT)).limit(_FEW).count() < _FEW
-    judged = not rows.where(HELD_OUT).isEmpty()
-    earlier, held = ExitStack(), []
-    try:
+    with stored_meanwhile(rows.select(*KEYS, "features", F.col(label).alias(_LABEL), HELD_OUT), "boosting") as table:
+        few = table.where(~F.col(HELD_OUT)).limit(_FEW).count() < _FEW
+        judged = not table.where(HELD_OUT).isEmpty()
+        unmoved = table.select("*", *[F.lit(0.0).alias(_margin(k)) for k in range(loss.outputs)])
         while len(state.rounds) < settings.rounds and not state.ended:
-            here = ExitStack()
-            now = here.enter_context(stored_meanwhile(table, "boosting"))
-            for old in held:
-                old.unpersist()
-            earlier.close()
-            earlier, held, table = here, [now.persist()], now
-            for _ in range(settings.stored_every):
-                number = len(state.rounds)
-                if number >= settings.rounds or state.ended:
-                    break
-                trees = _round(table.where(~F.col(HELD_OUT)), loss, settings, number, few)
-                state.rounds.append(trees)
-                state.weights.append(loss.weight(number, settings.step))
-                # kept, so that the next round's fits neither predict again nor compile a longer plan
-                table = _grown(table, trees, state.weights[-1]).persist()
-                held.append(table)
-                mean = table.groupBy().agg(F.avg(F.when(F.col(HELD_OUT), loss.loss(F.col(_LABEL), margins))).alias("loss")).first()["loss"]
-                if judged:
-                    state.losses.append(float(mean))
-                while len(held) > 1:
-                    held.pop(0).unpersist()
-    finally:
-        for old in held:
-            old.unpersist()
-        earlier.close()
+            first = len(state.rounds)
+            kept = _grown(unmoved, state, 0, loss.outputs).persist()
+            try:
+                now = kept
+                while len(state.rounds) < min(first + settings.stored_every, settings.rounds) and not state.ended:
+                    number = len(state.rounds)
+                    state.rounds.append(_round(now.where(~F.col(HELD_OUT)), loss, settings, number, few))
+                    state.weights.append(loss.weight(number, settings.step))
+                    now = _grown(kept, state, first, loss.outputs)
+                    if judged:
+                        mean = now.where(HELD_OUT).agg(F.avg(loss.loss(F.col(_LABEL), margins)).alias("loss"))
+                        state.losses.append(float(mean.collect()[0]["loss"]))
+            finally:
+                kept.unpersist()
     return state
 
 

@@ -14,7 +14,8 @@ from hourloom.functions import schema as S
 from hourloom.operators.metrics import regression_metrics
 from hourloom.operators.sampling import SEED, sample_exact, split_by_key, split_by_time
 from hourloom.plans.boosting import HELD_OUT, AbsoluteLoss, Boosted, BoostSettings, best_rounds, boost, loss_table, restart  # noqa: F401
-from hourloom.plans.training import feature_matrix
+from hourloom.plans.training import KEYS, feature_matrix
+from hourloom.session import stored_meanwhile
 from hourloom.sources.tables import load
 
 TARGETS = [(source, hours) for source in S.LEAD_SIGNALS for hours in S.LEAD_HOURS]
@@ -88,8 +89,8 @@ def fit_forecaster(
     return boosted.models()[0], boosted.losses
 
 
-def _split(features: DataFrame, target: str, settings: ForecastSettings, inputs: Iterable[str] | None) -> tuple[DataFrame, DataFrame]:
-    rows = feature_matrix(features, inputs or S.forecast_features(), [target]).where(F.col(target).isNotNull())
+def _split(matrix: DataFrame, target: str, settings: ForecastSettings) -> tuple[DataFrame, DataFrame]:
+    rows = matrix.select(*KEYS, "features", target).where(F.col(target).isNotNull())
     if settings.split == "time":
         return split_by_time(rows, settings.holdout)
     return split_by_key(rows, settings.holdout, score=F.expr(settings.score) if settings.score else None)
@@ -105,30 +106,32 @@ def train_with_losses(
     """Models by (source, horizon), ``(source, horizon, n, mae, rmse, r2)`` on the hold-out rows, and
     ``(source, horizon, round, loss)`` of all rounds.
 
-    ``features`` should be a stored table: each model reads its inputs and its own target, several times. The models are
-    fitted side by side, since each waits for many small jobs. ``start`` holds states to go on from.
+    ``features`` should be a stored table. Its inputs are read and checked once: the matrix of all targets is stored for the time
+    of the training, and each model takes from it the rows that have its target. The models are fitted side by side, since each
+    waits for many small jobs. ``start`` holds states to go on from.
     """
     spark = features.sparkSession
-    inputs = list(inputs) if inputs else None
-    targets = [(s, h) for s, h in targets if S.lead_name(s, h) in features.columns]
+    targets = [(s, h) for s, h in dict.fromkeys(targets) if S.lead_name(s, h) in features.columns]
 
-    def fit(key: tuple[str, int]):
+    def fit(matrix: DataFrame, key: tuple[str, int]):
         target = S.lead_name(*key)
-        train, held_out = _split(features, target, settings, inputs)
+        train, held_out = _split(matrix, target, settings)
         if train.isEmpty():
             return None
         model, losses = fit_forecaster(train, held_out, target, settings, (start or {}).get(key))
-        named = F.lit(key[0]).alias("source"), F.lit(f"{key[1]}h").alias("horizon")
-        scored = regression_metrics(model.transform(held_out), target, "prediction").select(*named, "*")
-        return model, scored, loss_table(spark, losses).select(*named, "*")
-
-    with ThreadPoolExecutor(max(len(targets), 1)) as pool:
-        fitted = {key: found for key, found in zip(targets, pool.map(fit, targets)) if found is not None}
-    metrics = spark.createDataFrame([], "source string, horizon string, n bigint, mae double, rmse double, r2 double")
-    losses = spark.createDataFrame([], "source string, horizon string, round int, loss double")
-    for _, scored, told in fitted.values():
-        metrics, losses = metrics.unionByName(scored), losses.unionByName(told)
-    return {key: found[0] for key, found in fitted.items()}, metrics, losses
+        scored = regression_metrics(model.transform(held_out), target, "prediction").collect()
+        return model, [(key[0], f"{key[1]}h", *row) for row in scored], [(key[0], f"{key[1]}h", i + 1, float(x)) for i, x in enumerate(losses)]
+
+    fitted = {}
+    if targets:
+        matrix = feature_matrix(features, list(inputs or S.forecast_features()), [S.lead_name(*key) for key in targets])
+        with stored_meanwhile(matrix, "forecast-matrix") as kept, ThreadPoolExecutor(len(targets)) as pool:
+            found = pool.map(lambda key: fit(kept, key), targets)
+            fitted = {key: one for key, one in zip(targets, found) if one is not None}
+    scored, told = ([row for one in fitted.values() for row in one[i]] for i in (1, 2))
+    metrics = spark.createDataFrame(scored, "source string, horizon string, n bigint, mae double, rmse double, r2 double")
+    losses = spark.createDataFrame(told, "source string, horizon string, round int, loss double")
+    return {key: one[0] for key, one in fitted.items()}, metrics, losses
 
 
 def train_forecasters(

@@ -25,6 +25,6 @@ def feature_matrix(features: DataFrame, inputs: Iterable[str], targets: Iterable
     # Null and NaN fail the comparison as infinities do.  One expression, so that the optimizer does
     # not derive conditions from each of 170.
     complete = features.where(F.forall(values, lambda v: F.abs(v) < float("inf")))
-    finite = finite_or_null(complete.select(*KEYS, *inputs, *targets), targets)
+    finite = finite_or_null(complete.select(*dict.fromkeys([*KEYS, *inputs, *targets])), targets)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
     return assembler.transform(finite).select(*KEYS, "features", *targets)

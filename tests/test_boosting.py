@@ -173,3 +173,51 @@ def test_forecaster_goes_on(spark, table, tmp_path):
     more, longer = forecast.fit_forecaster(train, held_out, "solar_t6h_ahead", replace(few, rounds=7), start)
     whole = forecast.fit_forecaster(train, held_out, "solar_t6h_ahead", replace(few, rounds=7))[1]
     assert more.getNumTrees == 7 and longer == pytest.approx(whole, rel=1e-9)
+
+
+def test_rows_are_stored_once_and_no_round_copies_them(table, monkeypatch):
+    """Six rounds, margins kept anew after two: one table in the folder, three in memory, none left there."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from hourloom.plans import boosting
+
+    written, kept, freed = [], [], []
+    stored, persist, unpersist = boosting.stored_meanwhile, DataFrame.persist, DataFrame.unpersist
+    monkeypatch.setattr(boosting, "stored_meanwhile", lambda df, name: written.append(name) or stored(df, name))
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self) or persist(self, *a))
+    monkeypatch.setattr(DataFrame, "unpersist", lambda self, *a: freed.append(self) or unpersist(self, *a))
+    state = boost(table, "number", AbsoluteLoss(2.0, 0), SETTINGS)
+    assert len(state.rounds) == len(state.losses) == 6
+    assert len(written) == 1 and len(kept) == len(freed) == 3
+
+
+def test_losses_are_those_of_the_models(table):
+    """Margins kept from earlier rounds and the trees since then add up to what the stored model predicts."""
+    state = boost(table, "number", AbsoluteLoss(2.0, 0), replace(SETTINGS, stored_every=4))
+    held_out = {r.ts_unix: r.number for r in table.where(HELD_OUT).collect()}
+    for rounds in range(1, 7):
+        predicted = _predictions(state.models(rounds)[0], table.where(HELD_OUT))
+        assert state.losses[rounds - 1] == pytest.approx(np.mean([abs(predicted[i] - held_out[i]) for i in held_out]), rel=1e-9)
+
+
+def test_forecasters_read_their_inputs_once(spark, monkeypatch):
+    """One matrix for all targets, each model on the rows of its own; another model's target may be an input."""
+    rng = np.random.default_rng(3)
+    rows = [
+        ("s", i, *rng.normal(size=2).tolist(), float(i % 7), None if i % 4 == 1 else float(i % 5) if i % 50 else float("inf"))
+        for i in range(300)
+    ]
+    features = durable(spark.createDataFrame(rows, "ba string, ts_unix bigint, a double, b double, solar_t6h_ahead double, wind_t12h_ahead double"))
+    built, matrix = [], forecast.feature_matrix
+    monkeypatch.setattr(forecast, "feature_matrix", lambda *a: built.append(a) or matrix(*a))
+    settings = forecast.ForecastSettings(rounds=3, depth=2, split="time", holdout=0.25)
+    models, metrics, losses = forecast.train_with_losses(
+        features, [("solar", 6), ("wind", 12), ("solar", 6), ("wind", 24)], settings, ["a", "b", "solar_t6h_ahead"]
+    )
+    assert len(built) == 1 and list(models) == [("solar", 6), ("wind", 12)]
+    wind = [r[1] for r in rows if r[5] is not None and r[5] < 9]
+    late = sum(t > max(wind) - (max(wind) - min(wind)) * 0.25 for t in wind)
+    assert {(r.source, r.horizon): r.n for r in metrics.collect()} == {("solar", "6h"): 75, ("wind", "12h"): late}
+    assert losses.groupBy("source").count().collect() and losses.count() == 6
+    none = forecast.train_with_losses(features, [("wind", 24)], settings, ["a"])
+    assert none[0] == {} and none[1].isEmpty() and none[2].isEmpty()
